@@ -27,6 +27,13 @@ def shuffle_key(key: str | Column, seed: int = SEED) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), col.cast("string")))
 
 
+def split_order(key: str, seed: int = SEED, shuffle: bool = True) -> Column:
+    """A sortable, unique value that puts rows in the order the split took them."""
+    if not shuffle:
+        return F.col(key)
+    return F.concat_ws(":", shuffle_key(key, seed), F.col(key).cast("string"))
+
+
 def _kth_hash(df: DataFrame, key: str, seed: int, k: int) -> tuple[str, int] | None:
     """(hash, key) of the k-th row in shuffled order; None for k = 0."""
     if k <= 0:

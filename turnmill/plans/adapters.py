@@ -61,7 +61,7 @@ def document_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("doc_id")
     return table(spark, sf_dir, "documents").select(
         F.floor(d / 24).alias("sample_id"),
-        (F.floor((d % 24) / 12) + 1).cast("int").alias("round"),
+        (F.floor((d % 24) / 12) + 1).alias("round"),
         F.element_at(
             F.array(*[F.lit(c) for c in CLIENTS]), F.floor((d % 12) / 4).cast("int") + 1
         ).alias("client"),

@@ -10,7 +10,13 @@ from turnmill.functions.samples import sft_text
 from turnmill.operators.formats import training_records
 from turnmill.operators.near_dup import THRESHOLD, drop_near_duplicates
 from turnmill.operators.report import generation_metadata, run_summary
-from turnmill.operators.split import SEED, TRAIN_RATIO, subsample_test, train_test_split
+from turnmill.operators.split import (
+    SEED,
+    TRAIN_RATIO,
+    split_order,
+    subsample_test,
+    train_test_split,
+)
 from turnmill.operators.turns import (
     MAX_RETRIES,
     MAX_ROUNDS,
@@ -40,18 +46,25 @@ def build_results(
 
 
 def format_results(
-    results: DataFrame, filter_duplicates: bool = True, threshold: float = THRESHOLD
+    results: DataFrame,
+    seed: int = SEED,
+    shuffle: bool = True,
+    filter_duplicates: bool = True,
+    threshold: float = THRESHOLD,
 ) -> DataFrame:
     """Successful results as records; near duplicates removed within each split.
 
-    Rows are compared in order of ``sample_id``.
+    Earlier means earlier in the order the split took the rows.
     """
     records = training_records(results)
     if not filter_duplicates:
         return records
-    ready = save_step(records.withColumn("_text", sft_text(F.col("conversations"))), "records")
-    kept = drop_near_duplicates(ready, "_text", "sample_id", by="split", threshold=threshold)
-    return kept.drop("_text")
+    ready = records.withColumn("_text", sft_text(F.col("conversations"))).withColumn(
+        "_order", split_order("sample_id", seed, shuffle)
+    )
+    ready = save_step(ready, "records")
+    kept = drop_near_duplicates(ready, "_text", "_order", by="split", threshold=threshold)
+    return kept.drop("_text", "_order")
 
 
 def build_records(
@@ -68,7 +81,7 @@ def build_records(
     parts = train_test_split(samples, "sample_id", train_ratio, seed, shuffle)
     chosen = subsample_test(parts, "sample_id", seed, shuffle)
     results = build_results(chosen, attempts, **options)
-    return format_results(results, filter_duplicates, threshold)
+    return format_results(results, seed, shuffle, filter_duplicates, threshold)
 
 
 def run(
@@ -88,7 +101,9 @@ def run(
     parts = train_test_split(samples, "sample_id", train_ratio, seed, shuffle)
     chosen = subsample_test(parts, "sample_id", seed, shuffle)
     results = save_step(build_results(chosen, attempts, clients, **options), "results")
-    records = save_step(format_results(results, filter_duplicates, threshold), "kept")
+    records = save_step(
+        format_results(results, seed, shuffle, filter_duplicates, threshold), "kept"
+    )
     paths = save_results(records, generation_metadata(results), out, mode)
     summary = run_summary(results, client_statistics(attempts, clients), paths, kept=records)
     save_summary(summary, out, mode)
