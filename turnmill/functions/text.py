@@ -29,7 +29,10 @@ def normalise(col: Column) -> Column:
 
 def clean(col: Column) -> Column:
     """Each whitespace run becomes one blank; ends trimmed; NULL becomes ''."""
-    return F.coalesce(F.trim(F.regexp_replace(col, f"[{WHITESPACE}]+", " ")), F.lit(""))
+    others = WHITESPACE.replace(" ", "")
+    # Mapping characters first leaves the regex only runs of blanks, not every blank.
+    blanks = F.translate(col, others, " " * len(others))
+    return F.coalesce(F.trim(F.regexp_replace(blanks, " {2,}", " ")), F.lit(""))
 
 
 def truncate(col: Column, max_length: int = 200) -> Column:

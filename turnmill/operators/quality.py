@@ -11,7 +11,10 @@ from turnmill.functions.text import content_hash
 
 def keep_valid(df: DataFrame, sample: str = "sample") -> DataFrame:
     """Only the usable samples."""
-    return with_validity(df, sample, "_valid").filter("_valid").drop("_valid")
+    flagged = with_validity(df, sample, "_valid")
+    # A filter would be pushed below the parsing and repeat it; a generator is not.
+    once = F.explode(F.when(F.col("_valid"), F.array(F.lit(True))))
+    return flagged.withColumn("_once", once).drop("_valid", "_once")
 
 
 def drop_exact_duplicates(df: DataFrame, text: str = "text", key: str = "pos") -> DataFrame:
