@@ -56,7 +56,7 @@ def with_rank(df: DataFrame, key: str = "pos", out: str = "rank") -> DataFrame:
     if low is None:
         return df.withColumn(out, F.lit(0).cast("bigint"))
     width = (high - low) // BUCKETS + 1
-    bucket = F.floor((F.col(key) - F.lit(low)) / F.lit(width)).cast("int")
+    bucket = F.expr(f"(`{key}` - {low}) DIV {width}")
     tagged = df.withColumn("_b", bucket)
     sizes = tagged.groupBy("_b").agg(F.count("*").alias("n"))
     # At most 65,536 counts enter this window and the broadcast below.
@@ -77,4 +77,4 @@ def batch_numbers(
 ) -> DataFrame:
     """1-based batch of each row when rows are taken ``batch_size`` at a time."""
     ranked = with_rank(df, key, "_rank")
-    return ranked.withColumn(out, F.floor(F.col("_rank") / batch_size) + 1).drop("_rank")
+    return ranked.withColumn(out, F.expr(f"_rank DIV {batch_size} + 1")).drop("_rank")

@@ -66,10 +66,8 @@ def _kth_value(df: DataFrame, key: str, k: int) -> int | None:
     left = k
     while high > low:
         width = (high - low) // SMALL + 1
-        bucket = F.floor((F.col(key) - F.lit(low)) / F.lit(width)).cast("bigint")
+        bucket = F.expr(f"(`{key}` - {low}) DIV {width}")
         inside = df.filter(F.col(key).between(low, high))
-        if width == 1:
-            bucket = F.col(key) - F.lit(low)
         counts = sorted(tuple(r) for r in inside.groupBy(bucket.alias("b")).count().collect())
         for b, n in counts:
             if left <= n:

@@ -60,13 +60,13 @@ def document_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as attempts: two rounds per sample, three clients, four tries each."""
     d = F.col("doc_id")
     return table(spark, sf_dir, "documents").select(
-        F.floor(d / 24).alias("sample_id"),
-        (F.floor((d % 24) / 12) + 1).alias("round"),
+        F.expr("doc_id DIV 24").alias("sample_id"),
+        F.expr("doc_id % 24 DIV 12 + 1").alias("round"),
         F.element_at(
-            F.array(*[F.lit(c) for c in CLIENTS]), F.floor((d % 12) / 4).cast("int") + 1
+            F.array(*[F.lit(c) for c in CLIENTS]), F.expr("doc_id % 12 DIV 4").cast("int") + 1
         ).alias("client"),
         (d % 4 + 1).cast("int").alias("attempt_no"),
-        F.concat(F.lit("ask "), F.floor(d / 24).cast("string")).alias("prompt"),
+        F.concat(F.lit("ask "), F.expr("doc_id DIV 24").cast("string")).alias("prompt"),
         F.col("text").alias("response"),
         F.when(F.col("n_chars") % 3 != 0, F.lit("timeout")).alias("error"),
         d.cast("double").alias("ts"),
@@ -83,7 +83,7 @@ def document_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     ok = F.col("n_chars") % 11 != 0
     return table(spark, sf_dir, "documents").select(
-        F.floor(d / 8).alias("sample_id"),
+        F.expr("doc_id DIV 8").alias("sample_id"),
         (d % 8 + 1).cast("int").alias("round"),
         F.concat(F.lit("ask "), (d % 8 + 1).cast("string")).alias("prompt"),
         F.when(ok, text).alias("response"),

@@ -109,7 +109,7 @@ def prompt_from_sample(spark, sf):
 
 def next_prompt(spark, sf):
     d = F.col("doc_id")
-    sample, round_no = F.floor(d / 8), d % 8 + 1
+    sample, round_no = F.expr("doc_id DIV 8"), d % 8 + 1
     return _docs(spark, sf).select(
         "doc_id", S.next_prompt(split.SEED, sample, round_no, d % 4).alias("prompt")
     )
@@ -135,7 +135,7 @@ def assemble_history(spark, sf):
 
 def _doc_samples(spark, sf):
     return (
-        _docs(spark, sf).select(F.floor(F.col("doc_id") / 8).alias("sample_id")).distinct()
+        _docs(spark, sf).select(F.expr("doc_id DIV 8").alias("sample_id")).distinct()
     )
 
 
