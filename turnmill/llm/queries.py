@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.llm import exact, mixing, packing, token_counts, warc
+from turnmill.llm import exact, jaccard, mixing, packing, token_counts, warc
 from turnmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op8_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingles are similar at 0.85."""
+    return jaccard.similar_groups(read(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the row that stays of its group of equal texts."""
     return exact.exact_groups(read(spark, sf_dir, "documents"))
@@ -50,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "op6_token_counts": op6_token_counts,
     "op7_power_of_two_packing": op7_power_of_two_packing,
     "op8_warc_roundtrip": op8_warc_roundtrip,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
@@ -88,6 +94,23 @@ ORACLE: dict[str, str] = {
       SELECT doc_id, size, s.source_size, target,
         (CASE WHEN size > 0 THEN coalesce(n, 0) * size ELSE 0 END)::BIGINT AS taken
       FROM streams s LEFT JOIN taken t ON s.place = t.place AND s.ends = t.ends AND size > 0""",
+    "op9_ngram_jaccard": r"""
+      WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x20\x09-\x0D]+') AS w FROM documents),
+      places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0),
+      sets AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s FROM places),
+      sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+      common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b
+        ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+      links AS (SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+        WHERE 100 * c >= 85 * (p.n + q.n - c)),
+      ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+      reach AS (SELECT doc_id AS x, doc_id AS y FROM documents
+        UNION SELECT r.x, b.y FROM reach r JOIN ways b ON r.y = b.x)
+      SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(y) AS component_id
+      FROM documents d JOIN reach r ON r.x = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+      GROUP BY d.doc_id""",
     "op10_exact_dedup": f"""
       WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS chars, {NORM} AS norm FROM documents),
       g AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY chars DESC, doc_id) AS r,
