@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.llm import exact, jaccard, mixing, packing, token_counts, warc
+from turnmill.llm import exact, fingerprints, jaccard, language, mixing, packing, token_counts, warc
 from turnmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,19 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learnt from rows that are not held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = language.held_out()
+    model = language.fit(docs, ~held_out)
+    return language.predict(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
+
+
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, counted from flat token files."""
     docs = read(spark, sf_dir, "documents")
@@ -52,6 +65,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
+    "op3_language_id": op3_language_id,
+    "op5_order_minhash": op5_order_minhash,
     "op6_token_counts": op6_token_counts,
     "op7_power_of_two_packing": op7_power_of_two_packing,
     "op8_warc_roundtrip": op8_warc_roundtrip,
