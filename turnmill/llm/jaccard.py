@@ -6,9 +6,10 @@ than a similar pair may differ in shingles, the sketches of such a pair have equ
 pieces. The number of pieces follows from a band of set sizes; a set is cut for
 its own band and for lower bands that hold similar smaller sets.
 
-Equal sets are one class. Classes that share a piece meet the first of them only;
-after those pairs are verified, what is left to compare are members of a piece
-that are not yet connected. So a group of near copies costs a star, not a square.
+Equal sets are one class. Classes that share a piece meet one of them only; after
+those pairs are verified, what is left to compare are members of a piece that are
+not yet connected, and only those whose sketches are near enough come out of that
+join. So a group of near copies costs a star, not a square.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ WORDS = 5
 PERCENT = 80
 BAND = 1.35  # sizes of a band: from its start to so many times it
 SKETCH_BITS = 2048
+QUICK_WORDS = 8  # the same sketch folded to 512 positions
 FILTER_BITS = 1 << 23  # a fixed megabyte
 
 U = np.uint64
@@ -153,7 +155,13 @@ def _entries(k: int, percent: int):
 def _sets(k: int, wanted):
     """Sets and sketches of the classes whose place in the fixed-size filter is set."""
     schema = pa.schema(
-        [("id", pa.int64()), ("n", pa.int64()), ("sketch", pa.list_(pa.int64())), ("own", pa.list_(pa.int64()))]
+        [
+            ("id", pa.int64()),
+            ("n", pa.int64()),
+            ("sketch", pa.list_(pa.int64())),
+            ("quick", pa.list_(pa.int64())),
+            ("own", pa.list_(pa.int64())),
+        ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +176,9 @@ def _sets(k: int, wanted):
                 if name in seen or not (int(words[slot >> 6]) >> (slot & 63)) & 1:
                     continue
                 seen.add(name)
-                rows.append((name, len(own), parity_sketch(own), own.view(np.int64)))
+                sketch = parity_sketch(own)
+                quick = np.bitwise_xor.reduce(sketch.reshape(-1, QUICK_WORDS))
+                rows.append((name, len(own), sketch, quick, own.view(np.int64)))
                 size += len(own)
                 if size > 500_000:
                     yield pa.RecordBatch.from_arrays(
@@ -202,6 +212,12 @@ def _distance(left: str, right: str) -> Column:
     )
 
 
+def _quick_distance() -> Column:
+    """The same for the folded sketches of two rows of members."""
+    words = [F.bit_count(F.col(f"x{i}").bitwiseXOR(F.col(f"y{i}"))) for i in range(QUICK_WORDS)]
+    return sum(words[1:], words[0])
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The similar pairs (a, b): sketches first, then the sets themselves."""
     short = sets.select("id", "n", "sketch")
@@ -243,19 +259,31 @@ def similar_groups(
     entries = docs.select(binary).mapInArrow(_entries(words, percent), "key BIGINT, id BIGINT")
     shared = (
         entries.groupBy("key")
-        .agg(F.min("id").alias("head"), F.max("id").alias("last"))
-        .filter("head < last")
-        .select("key", "head")
+        .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("m"))
+        .filter("low < high")
+        .select("key", "m")
     )
     live = save_step(entries.join(shared, "key").distinct(), "shared_pieces")
     wanted = spark.sparkContext.broadcast(_filter_words(live.select("id").distinct()))
     sets = save_step(
         docs.select(binary)
-        .mapInArrow(_sets(words, wanted), "id BIGINT, n BIGINT, sketch ARRAY<BIGINT>, own ARRAY<BIGINT>")
+        .mapInArrow(_sets(words, wanted), "id BIGINT, n BIGINT, sketch ARRAY<BIGINT>, quick ARRAY<BIGINT>, own ARRAY<BIGINT>")
         .dropDuplicates(["id"]),
         "shingle_sets",
     )
-    stars = save_step(live.filter("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b")).distinct(), "stars")
+    # The head of a piece is the class that shares most: of a text and its edited
+    # copies, the text. A copy that is not similar to it is hardly similar to another.
+    shares = live.groupBy("id").agg(F.sum("m").alias("share"))
+    heads = (
+        live.select("key", "id")
+        .join(shares, "id")
+        .groupBy("key")
+        .agg(F.max(F.struct("share", "id"))["id"].alias("head"))
+    )
+    stars = live.select("key", "id").join(heads, "key").filter("id <> head")
+    stars = save_step(
+        stars.select(F.greatest("id", "head").alias("a"), F.least("id", "head").alias("b")).distinct(), "stars"
+    )
     links = save_step(_verify(stars, sets, percent), "star_links")
 
     labels = components(links)
@@ -277,10 +305,23 @@ def similar_groups(
         .filter("low < high AND m > 2")
         .select("key", F.col("main.label").alias("main"))
     )
-    members = placed.join(open_pieces, "key").select("key", "id", "label", "main")
-    outside = members.filter("label <> main").select("key", F.col("id").alias("x"), F.col("label").alias("lx"))
-    met = outside.join(members.select("key", F.col("id").alias("y"), F.col("label").alias("ly")), "key").filter(
-        F.col("lx") != F.col("ly")
+    quick = sets.select("id", "n", *[F.get("quick", F.lit(i)).alias(f"q{i}") for i in range(QUICK_WORDS)])
+    members = placed.join(open_pieces, "key").join(quick, "id")
+    words = [f"q{i}" for i in range(QUICK_WORDS)]
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        own = [F.col(c).alias(f"{name}{i}") for i, c in enumerate(words)]
+        return rows.select(
+            "key", F.col("id").alias(name), F.col("label").alias(f"l{name}"), F.col("n").alias(f"n{name}"), *own
+        )
+
+    # Two sketches differ in no more places than the sets do, so the condition of
+    # the join itself turns away what cannot be similar.
+    outside = side(members.filter("label <> main"), "x")
+    met = outside.join(side(members, "y"), "key").filter(
+        (F.col("lx") != F.col("ly"))
+        & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+        & (_quick_distance() * (100 + percent) <= (F.col("nx") + F.col("ny")) * (100 - percent))
     )
     pairs = met.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
     more = _verify(save_step(pairs.join(stars, ["a", "b"], "left_anti"), "open_pairs"), sets, percent)
