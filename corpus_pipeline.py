@@ -5,32 +5,53 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from turnmill.llm import exact, mixing, packing
+from turnmill.llm import exact, jaccard, language, mixing, packing
 from turnmill.llm.common import read
 from turnmill.session import save_step
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language go: null texts and texts without a letter.
+
+    The model learns from all labelled rows; with none, it knows no language and
+    every document with letters stays.
+    """
+    model = language.fit(docs, F.lit(True))
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    named = language.predict(docs, model, [F.struct("*").alias("row")])
+    return named.filter(F.col("lang_pred") != language.UNKNOWN).select("row.*")
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of equal texts stays."""
     return exact.drop_exact(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group linked by five-word shingles at 0.8 stays."""
+    return jaccard.drop_similar(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in mix order, repeated as often as the mix takes them."""
     return mixing.mix(docs)
 
 
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences without padding."""
+    """Token sequences without padding, with their ids."""
     return packing.pack(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language ID", identify_language),
     ("exact dedup", drop_exact_copies),
-    ("mixing sources", mix_sources),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing sources to target weights", mix_sources),
     ("packing", pack_tokens),
 ]
 

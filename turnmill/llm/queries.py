@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.llm import exact, fingerprints, jaccard, language, mixing, packing, token_counts, warc
+from turnmill.llm import (
+    exact,
+    fingerprints,
+    jaccard,
+    language,
+    line_dedup,
+    mixing,
+    packing,
+    substring_dedup,
+    token_counts,
+    warc,
+)
 from turnmill.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +31,12 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of three lines that occur in an earlier place."""
+    rows = line_dedup.drop_repeated_lines(read(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "removed_lines", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learnt from rows that are not held out."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -28,6 +45,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages that every document repeats from another or from itself."""
+    return substring_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
@@ -65,7 +87,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
+    "op2_line_dedup": op2_line_dedup,
     "op3_language_id": op3_language_id,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_order_minhash": op5_order_minhash,
     "op6_token_counts": op6_token_counts,
     "op7_power_of_two_packing": op7_power_of_two_packing,
@@ -109,6 +133,21 @@ ORACLE: dict[str, str] = {
       SELECT doc_id, size, s.source_size, target,
         (CASE WHEN size > 0 THEN coalesce(n, 0) * size ELSE 0 END)::BIGINT AS taken
       FROM streams s LEFT JOIN taken t ON s.place = t.place AND s.ends = t.ends AND size > 0""",
+    "op2_line_dedup": r"""
+      WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+          unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
+      solid AS (SELECT doc_id, i, trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) AS line
+        FROM lines WHERE trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
+      runs AS (SELECT doc_id, i, line || chr(10) || lead(line) OVER w || chr(10) || lead(line, 2) OVER w AS run,
+          [i, lead(i) OVER w, lead(i, 2) OVER w] AS covered
+        FROM solid WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+      later AS (SELECT * FROM runs WHERE run IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, i) > 1),
+      gone AS (SELECT DISTINCT doc_id, unnest(covered) AS i FROM later)
+      SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS removed_lines,
+        sha256(coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL), '')) AS text_sha256
+      FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY l.doc_id
+      UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL""",
     "op9_ngram_jaccard": r"""
       WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(
           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
