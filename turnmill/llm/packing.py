@@ -106,6 +106,8 @@ def pack(
         .join(base, F.col("length") == F.col("l"))
         .select(F.col("length").alias("l"), F.col("part").alias("p"), (F.col("base") + F.col("inside")).alias("first"))
     )
+    # Written, its size is known: Spark sends it to all tasks if it is small.
+    starts = save_step(starts, "sequence_starts")
     return pieces.join(starts, (F.col("length") == F.col("l")) & (F.col("part") == F.col("p"))).select(
         "doc_id",
         "start",
