@@ -9,7 +9,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
-CACHED = 300_000  # chunks a worker remembers; about 60 MB
+CACHED = 250_000  # chunks, and words, in each of two generations a worker remembers
 
 #: Characters whose normal form and lower case are themselves or one known letter.
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
@@ -42,27 +42,36 @@ class WordTokenizer(dict):
         self.dtype = dtype
         self.letters = {chr(b): x for b, x in byte_letters().items()}
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
         if not chunk:
             return b""
-        if "<|" not in chunk and PLAIN.fullmatch(chunk):
-            ids = b"".join([self._word(w) for w in SPLIT.findall(chunk.lower())])
-        else:
-            ids = self._pack(self.model.encode(chunk, add_special_tokens=False).ids)
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = self._encode(chunk)
         if len(chunk) <= 64:
-            if len(self) >= CACHED:
+            if len(self) >= CACHED:  # what is in use comes back from the old generation
+                self.old = dict(self)
                 self.clear()
             self[chunk] = ids
         return ids
 
+    def _encode(self, chunk: str) -> bytes:
+        if "<|" not in chunk and PLAIN.fullmatch(chunk):
+            return b"".join([self._word(w) for w in SPLIT.findall(chunk.lower())])
+        return self._pack(self.model.encode(chunk, add_special_tokens=False).ids)
+
     def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
-            spelt = "".join([self.letters[c] for c in word.encode().decode("latin-1")])
-            ids = self._pack([t.id for t in self.model.model.tokenize(spelt)])
+            ids = self.old_words.get(word)
+            if ids is None:
+                spelt = "".join([self.letters[c] for c in word.encode().decode("latin-1")])
+                ids = self._pack([t.id for t in self.model.model.tokenize(spelt)])
             if len(self.words) >= CACHED:
-                self.words.clear()
+                self.old_words, self.words = self.words, {}
             self.words[word] = ids
         return ids
 
