@@ -115,3 +115,12 @@ def test_saved_split_keeps_every_row(spark, samples, tmp_path):
         assert back.filter("split = 'train'").count() == 8
     with pytest.raises(ValueError):
         save_split(parts, str(tmp_path / "x"), "xml")
+
+
+def test_keys_at_the_ends_of_the_range(spark):
+    keys = [-(2**62) - 1, -(2**62), -5, 0, 7, 2**62, 2**62 + 9, 2**63 - 1, -(2**63)]
+    df = spark.createDataFrame([(k,) for k in keys], "id BIGINT")
+    rows = split.train_test_split(df, "id", 0.5, shuffle=False).collect()
+    assert sorted(r["id"] for r in rows if r["split"] == "train") == sorted(keys)[:4]
+    ranks = {r["id"]: r["rank"] for r in positions.with_rank(df, "id").collect()}
+    assert [ranks[k] for k in sorted(keys)] == list(range(len(keys)))

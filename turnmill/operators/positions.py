@@ -10,42 +10,50 @@ from pyspark.sql import types as T
 
 ROW_BITS = 33  # row number bits of monotonically_increasing_id
 BUCKETS = 65_536
-BROADCAST_ROWS = 1_000_000  # 16 bytes each
+BROADCAST_ROWS = 100_000  # about 200 bytes each
 
 
 def with_positions(frames: list[DataFrame], out: str = "pos") -> DataFrame:
-    """Union of frames with positions 0..n-1: frame by frame, in scan order.
+    """Union of frames with positions 0..n-1: frame by frame, in the order of their files.
 
-    One count per input partition gives each partition its offset; rows get
-    offset + row number inside the partition and never move.
+    Rows of a file source carry ``_file`` and ``_block`` (dropped here): their
+    order is that of the file names, of the blocks in a file and of the rows in a
+    block, however blocks were packed into tasks. Other frames keep scan order.
+    One count per block gives it its offset; rows never move. The frames must give
+    the same rows whenever they are computed.
     """
     spark = frames[0].sparkSession
-    tagged = reduce(
-        DataFrame.union,
-        [
-            f.select(F.lit(i).alias("_f"), F.monotonically_increasing_id().alias("_id"), "*")
-            for i, f in enumerate(frames)
-        ],
-    )
     part = F.shiftright("_id", ROW_BITS)
-    row = F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    counts = tagged.groupBy("_f", part.alias("_p")).agg((F.max(row) + 1).alias("n")).collect()
+    tagged = []
+    for i, f in enumerate(frames):
+        if "_file" not in f.columns:
+            f = f.withColumn("_id", F.monotonically_increasing_id())
+            f = f.withColumn("_file", F.lit("")).withColumn("_block", part).drop("_id")
+        tagged.append(f.select(F.lit(i).alias("_f"), F.monotonically_increasing_id().alias("_id"), "*"))
+    rows = reduce(DataFrame.unionByName, tagged)
+    block = ["_f", "_file", "_block"]
+    counts = rows.groupBy(*block).agg(F.min("_id").alias("first"), F.count("*").alias("n")).collect()
     offsets, total = [], 0
-    for f, p, n in sorted(tuple(c) for c in counts):
-        offsets.append((f, p, total))
+    for f, file, start, first, n in sorted(tuple(c) for c in counts):
+        offsets.append((f, file, start, total - first))
         total += n
-    schema = T.StructType.fromDDL("_f INT, _p BIGINT, _off BIGINT")
+    schema = T.StructType.fromDDL("_f INT, _file STRING, _block BIGINT, _off BIGINT")
     table = spark.createDataFrame(offsets, schema)
     if len(offsets) <= BROADCAST_ROWS:
         table = F.broadcast(table)
     return (
-        tagged.withColumn("_p", part)
-        .join(table, ["_f", "_p"])
-        .withColumn(out, F.col("_off") + row)
-        .drop("_f", "_p", "_id", "_off")
+        rows.join(table, block)
+        .withColumn(out, F.col("_off") + F.col("_id"))
+        .drop(*block, "_id", "_off")
     )
 
 
+def distance(key: str, low: int, high: int) -> str:
+    """SQL for the distance of an integer key from ``low``; exact on any range."""
+    wide = high - low >= 1 << 63
+    return f"(cast(`{key}` as decimal(20,0)) - ({low}))" if wide else f"(`{key}` - ({low}))"
+
+
 def with_rank(df: DataFrame, key: str = "pos", out: str = "rank") -> DataFrame:
     """0-based rank of a unique integer key, sorted per value range only.
 
@@ -56,7 +64,7 @@ def with_rank(df: DataFrame, key: str = "pos", out: str = "rank") -> DataFrame:
     if low is None:
         return df.withColumn(out, F.lit(0).cast("bigint"))
     width = (high - low) // BUCKETS + 1
-    bucket = F.expr(f"(`{key}` - {low}) DIV {width}")
+    bucket = F.expr(f"{distance(key, low, high)} DIV {width}")
     tagged = df.withColumn("_b", bucket)
     sizes = tagged.groupBy("_b").agg(F.count("*").alias("n"))
     # At most 65,536 counts enter this window and the broadcast below.

@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from turnmill.operators.positions import distance
+
 TRAIN_RATIO = 0.8
 TEST_RATIO = 0.2
 SEED = 42
@@ -66,7 +68,7 @@ def _kth_value(df: DataFrame, key: str, k: int) -> int | None:
     left = k
     while high > low:
         width = (high - low) // SMALL + 1
-        bucket = F.expr(f"(`{key}` - {low}) DIV {width}")
+        bucket = F.expr(f"{distance(key, low, high)} DIV {width}")
         inside = df.filter(F.col(key).between(low, high))
         counts = sorted(tuple(r) for r in inside.groupBy(bucket.alias("b")).count().collect())
         for b, n in counts:

@@ -152,10 +152,12 @@ def client_statistics(attempts: DataFrame, clients: list[str] | None = None) ->
     )
 
 
-def batch_responses(prompts: DataFrame, outcomes: DataFrame, key: str = "sample_id") -> DataFrame:
+def batch_responses(
+    prompts: DataFrame, outcomes: DataFrame, keys: tuple[str, ...] = ("sample_id",)
+) -> DataFrame:
     """Every prompt with its response and client; ('', 'failed') where all failed."""
-    won = outcomes.select(key, "response", "client")
-    return prompts.join(won, key, "left").select(
+    won = outcomes.select(*keys, "response", "client")
+    return prompts.join(won, list(keys), "left").select(
         *[prompts[c] for c in prompts.columns],
         F.coalesce("response", F.lit("")).alias("response"),
         F.coalesce("client", F.lit(FAILED_CLIENT)).alias("client"),

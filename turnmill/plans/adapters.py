@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from turnmill.operators.turns import CLIENTS, MAX_ROUNDS
+from turnmill.operators.turns import CLIENTS
 
 CLOSING = " That's all."
 
@@ -17,9 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user turn directly followed by an assistant turn is one round.
 
-    Turns are matched on (conversation, turn), so one huge conversation is
-    spread over all tasks; only its first ``MAX_ROUNDS`` rounds are numbered,
-    which Spark limits before the shuffle.
+    Turns are matched on (conversation, turn). All rounds are numbered; the limit
+    on rounds is the conversation operator's.
     """
     turns = table(spark, sf_dir, "conversations")
     asked = turns.filter("role = 'user'").select(
@@ -31,11 +30,7 @@ def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("response"),
     )
     number = F.row_number().over(Window.partitionBy("sample_id").orderBy("turn"))
-    return (
-        asked.join(answered, ["sample_id", "turn"])
-        .withColumn("round", number)
-        .filter(F.col("round") <= MAX_ROUNDS)
-    )
+    return asked.join(answered, ["sample_id", "turn"]).withColumn("round", number)
 
 
 def conversation_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,23 +69,34 @@ def document_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as decided rounds, eight per sample, some failed, short or closing."""
+    """Documents as decided rounds, six per sample; some close the conversation.
+
+    Every document is a round with its whole text. Short and failed rounds stand
+    beside them as rows of their own, so a sample has up to twelve rounds.
+    """
     d = F.col("doc_id")
-    text = (
-        F.when(d % 7 == 3, F.substring("text", 1, 15))
-        .when(d % 13 == 5, F.concat("text", F.lit(CLOSING)))
-        .otherwise(F.col("text"))
-    )
-    ok = F.col("n_chars") % 11 != 0
-    return table(spark, sf_dir, "documents").select(
-        F.expr("doc_id DIV 8").alias("sample_id"),
-        (d % 8 + 1).cast("int").alias("round"),
-        F.concat(F.lit("ask "), (d % 8 + 1).cast("string")).alias("prompt"),
-        F.when(ok, text).alias("response"),
-        F.when(ok, F.element_at(F.array(*[F.lit(c) for c in CLIENTS]), (d % 3).cast("int") + 1))
-        .alias("client"),
-        d.cast("double").alias("ts"),
-        ok.alias("ok"),
+    docs = table(spark, sf_dir, "documents")
+    client = F.element_at(F.array(*[F.lit(c) for c in CLIENTS]), (d % 3).cast("int") + 1)
+
+    def rounds(rows: DataFrame, place: int, response: Column, ok: bool) -> DataFrame:
+        number = (d % 6 * 2 + place).cast("int")
+        return rows.select(
+            F.expr("doc_id DIV 6").alias("sample_id"),
+            number.alias("round"),
+            F.concat(F.lit("ask "), number.cast("string")).alias("prompt"),
+            response.alias("response"),
+            (client if ok else F.lit(None).cast("string")).alias("client"),
+            (d + (place - 1) / 2).cast("double").alias("ts"),
+            F.lit(ok).alias("ok"),
+        )
+
+    text = F.when(d % 13 == 5, F.concat("text", F.lit(CLOSING))).otherwise(F.col("text"))
+    short = d % 7 == 3
+    failed = ~short & (F.col("n_chars") % 11 == 0)
+    return (
+        rounds(docs, 1, text, True)
+        .unionAll(rounds(docs.filter(short), 2, F.concat_ws(" / ", F.lit("ok"), "source", "lang"), True))
+        .unionAll(rounds(docs.filter(failed), 2, F.lit(None).cast("string"), False))
     )
 
 

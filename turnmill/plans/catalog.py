@@ -42,7 +42,7 @@ def jsonl_roundtrip(spark, sf):
 def json_roundtrip(spark, sf):
     path = step_path(spark, "docs.json")
     writers.write_json(files.to_samples(_docs(spark, sf)).select("sample"), path)
-    return _fields(files.load(spark, path, "jsonl"), DOC_FIELDS)
+    return _fields(files.load(spark, path), DOC_FIELDS)
 
 
 def csv_roundtrip(spark, sf):
@@ -135,7 +135,7 @@ def assemble_history(spark, sf):
 
 def _doc_samples(spark, sf):
     return (
-        _docs(spark, sf).select(F.expr("doc_id DIV 8").alias("sample_id")).distinct()
+        _docs(spark, sf).select(F.expr("doc_id DIV 6").alias("sample_id")).distinct()
     )
 
 
@@ -184,9 +184,9 @@ def client_stats(spark, sf):
 
 def batch_responses(spark, sf):
     attempts = A.document_attempts(spark, sf)
-    prompts = attempts.filter("round = 1").select("sample_id", "prompt").distinct()
-    won = turns.first_success(attempts.filter("round = 1"))
-    return turns.batch_responses(prompts, won)
+    prompts = attempts.select("sample_id", "round", "prompt").distinct()
+    won = turns.first_success(attempts)
+    return turns.batch_responses(prompts, won, ("sample_id", "round"))
 
 
 def batch_conversations(spark, sf):
@@ -248,6 +248,12 @@ def dedup_near(spark, sf):
     return drop_near_duplicates(docs, key="doc_id").select("doc_id")
 
 
+def dedup_near_equal(spark, sf):
+    """The whole operator at threshold 1: of texts equal but for case and ends, the first."""
+    docs = _docs(spark, sf).select("doc_id", "text")
+    return drop_near_duplicates(docs, key="doc_id", threshold=1.0).select("doc_id")
+
+
 # Records and layouts
 
 
@@ -403,6 +409,7 @@ QUERIES: dict[str, Query] = {
     "content_hash": content_hash,
     "dedup_exact": dedup_exact,
     "dedup_near": dedup_near,
+    "dedup_near_equal": dedup_near_equal,
     "sft_records": sft_records,
     "to_alpaca": to_alpaca,
     "to_sharegpt": to_sharegpt,

@@ -55,16 +55,18 @@ attempts AS (
 """
 ROUNDS = f"""
 rounds AS (
-  SELECT doc_id // 8 AS sample_id, (doc_id % 8 + 1)::INT AS round,
-    'ask ' || (doc_id % 8 + 1) AS prompt, n_chars % 11 <> 0 AS ok,
-    CASE WHEN n_chars % 11 <> 0 THEN CASE WHEN doc_id % 7 = 3 THEN substr(text, 1, 15)
-      WHEN doc_id % 13 = 5 THEN text || ' That''s all.' ELSE text END END AS response,
-    CASE WHEN n_chars % 11 <> 0 THEN ({CLIENT_LIST})[doc_id % 3 + 1] END AS client,
-    doc_id::DOUBLE AS ts
-  FROM documents)
+  SELECT doc_id // 6 AS sample_id, (doc_id % 6 * 2 + 1)::INT AS round,
+    'ask ' || (doc_id % 6 * 2 + 1) AS prompt, true AS ok,
+    CASE WHEN doc_id % 13 = 5 THEN text || ' That''s all.' ELSE text END AS response,
+    ({CLIENT_LIST})[doc_id % 3 + 1] AS client, doc_id::DOUBLE AS ts
+  FROM documents
+  UNION ALL SELECT doc_id // 6, (doc_id % 6 * 2 + 2)::INT, 'ask ' || (doc_id % 6 * 2 + 2),
+    doc_id % 7 = 3, CASE WHEN doc_id % 7 = 3 THEN 'ok / ' || source || ' / ' || lang END,
+    CASE WHEN doc_id % 7 = 3 THEN ({CLIENT_LIST})[doc_id % 3 + 1] END, doc_id + 0.5::DOUBLE
+  FROM documents WHERE doc_id % 7 = 3 OR n_chars % 11 = 0)
 """
 HISTORY = f"""{ROUNDS},
-judged AS (SELECT *, ok AND {valid('response')} AS good FROM rounds),
+judged AS (SELECT *, ok AND {valid('response')} AS good FROM rounds WHERE round <= 10),
 counted AS (
   SELECT *, count(*) FILTER (WHERE good) OVER (PARTITION BY sample_id ORDER BY round) AS turn_no
   FROM judged),
@@ -76,7 +78,7 @@ history AS (
     WHERE f.sample_id = e.sample_id AND f.round < e.round AND f.ends))
 """
 RESULTS = f"""{HISTORY},
-samples AS (SELECT DISTINCT doc_id // 8 AS sample_id FROM documents),
+samples AS (SELECT DISTINCT doc_id // 6 AS sample_id FROM documents),
 spans AS (SELECT sample_id, max(ts) - min(ts) AS span FROM rounds GROUP BY sample_id),
 results AS (
   SELECT s.sample_id, count(h.round) > 0 AS success,
@@ -98,8 +100,7 @@ next_turns AS (
 pairs AS (
   SELECT conv_id AS sample_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS round,
     text AS prompt, next_text AS response, turn
-  FROM next_turns WHERE role = 'user' AND next_role = 'assistant'
-  QUALIFY round <= 10)
+  FROM next_turns WHERE role = 'user' AND next_role = 'assistant')
 """
 RANKED = """
 winners AS (
@@ -214,10 +215,9 @@ ORACLE: dict[str, str] = {
       FROM (SELECT unnest({CLIENT_LIST}) AS client) c LEFT JOIN attempts a
         ON a.client = c.client GROUP BY c.client""",
     "batch_responses": f"""WITH {ATTEMPTS}, {RANKED.format(order=PLACE + ', attempt_no')}
-      SELECT e.sample_id, e.prompt, coalesce(response, '') AS response,
+      SELECT e.sample_id, e.round, e.prompt, coalesce(response, '') AS response,
         coalesce(client, 'failed') AS client
-      FROM every e LEFT JOIN winners w ON e.sample_id = w.sample_id AND e.round = w.round
-      WHERE e.round = 1""",
+      FROM every e LEFT JOIN winners w ON e.sample_id = w.sample_id AND e.round = w.round""",
     "batch_conversations": f"WITH {RESULTS} SELECT sample_id, num_turns FROM results",
     "result_rows": f"WITH {RESULTS} SELECT * FROM results",
     "batch_numbers": "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 16 + 1 AS batch "
@@ -234,6 +234,8 @@ ORACLE: dict[str, str] = {
     "content_hash": "SELECT doc_id, md5(text) AS hash FROM documents",
     "dedup_exact": "SELECT doc_id, text, lang, source, n_chars FROM documents QUALIFY "
     "row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) = 1",
+    "dedup_near_equal": f"SELECT doc_id FROM documents QUALIFY text = '' OR row_number() OVER "
+    f"(PARTITION BY lower({strip('text')}) ORDER BY doc_id) = 1",
     "sft_records": f"""WITH {RESULTS}
       SELECT sample_id, processing_time, api_client_used, num_turns, prompt AS instruction,
         response AS output, '' AS input, round::BIGINT AS round, client AS api_client,

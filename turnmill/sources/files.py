@@ -23,15 +23,39 @@ INDENTED_OPEN = "[\n  {"
 INDENTED_BETWEEN = "\n  },\n  {"
 
 
+# Where a row comes from; positions follow it.
+F_FILE, F_BLOCK = ORIGIN = ("_file", "_block")
+
+
+def _with_origin(df: DataFrame) -> DataFrame:
+    """Rows of a file source with their file and the start of their block in it."""
+    return df.select(
+        "*",
+        F.col("_metadata.file_path").alias(F_FILE),
+        F.col("_metadata.file_block_start").alias(F_BLOCK),
+    )
+
+
+def one_json_value(value: Column) -> Column:
+    """Whether a text is one JSON value and nothing after it.
+
+    The parser stops after the first value, so the text is tried inside a list and
+    inside an object: what follows a value breaks one of them.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), value, F.lit("]")))
+    field = F.try_parse_json(F.concat(F.lit('{"v":'), value, F.lit(',"end":1}')))
+    return listed.isNotNull() & field.isNotNull()
+
+
 def _checked(value: Column, what: str) -> Column:
     bad = F.raise_error(F.concat(F.lit(f"{what}: "), F.substring(value, 1, 200)))
-    return F.when(F.try_parse_json(value).isNull(), bad.cast("string")).otherwise(value)
+    return F.when(~one_json_value(value), bad.cast("string")).otherwise(value)
 
 
 def _jsonl_rows(spark: SparkSession, path: str, strict: bool) -> DataFrame:
-    lines = spark.read.text(path).filter(strip(F.col("value")) != "")
+    lines = _with_origin(spark.read.text(path)).filter(strip(F.col("value")) != "")
     value = _checked(F.col("value"), "bad JSON line") if strict else F.col("value")
-    return lines.select(value.alias("sample"))
+    return lines.select(value.alias("sample"), *ORIGIN)
 
 
 def read_jsonl(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
@@ -46,23 +70,26 @@ def _indented_rows(spark: SparkSession, path: str) -> DataFrame:
     indented further, so the separator only stands between top-level objects
     and the file can be cut there.
     """
-    pieces = spark.read.option("lineSep", INDENTED_BETWEEN).text(path)
+    pieces = _with_origin(spark.read.option("lineSep", INDENTED_BETWEEN).text(path))
     body = F.col("value")
     body = F.when(
         F.startswith(body, F.lit(INDENTED_OPEN)), F.substring(body, len(INDENTED_OPEN) + 1, 1 << 30)
     ).otherwise(body)
     body = F.regexp_replace(body, r"\n  \}\n\]\s*\z", "")
     whole = F.concat(F.lit("{"), body, F.lit("\n}"))
-    return pieces.select(_checked(whole, "bad JSON object").alias("sample"))
+    return pieces.select(_checked(whole, "bad JSON object").alias("sample"), *ORIGIN)
 
 
 def _json_rows(spark: SparkSession, path: str, unwrap: bool = True) -> DataFrame:
     # Only the head of the file is looked at here, to choose how to read it.
-    head = [r[0] for r in spark.read.text(path).limit(2).collect()]
-    if [h.rstrip() for h in head] == ["[", "  {"]:
+    head = [tuple(r) for r in spark.read.text(path).select("value", one_json_value(F.col("value"))).limit(2).collect()]
+    if [h.rstrip() for h, _ in head] == ["[", "  {"]:
         return _indented_rows(spark, path)
-    text = spark.read.text(path, wholetext=True).select(F.trim(strip(F.col("value"))).alias("v"))
-    text = text.select(_checked(F.col("v"), "bad JSON file").alias("v"))
+    if len(head) == 2 and all(whole and h.lstrip()[:1] == "{" for h, whole in head):
+        return _jsonl_rows(spark, path, strict=True)  # what this package writes as JSON
+    text = _with_origin(spark.read.text(path, wholetext=True))
+    text = text.select(F.trim(strip(F.col("value"))).alias("v"), *ORIGIN)
+    text = text.select(_checked(F.col("v"), "bad JSON file").alias("v"), *ORIGIN)
     elements = "array<string>"
     listed = F.from_json("v", elements)
     if unwrap:
@@ -74,12 +101,14 @@ def _json_rows(spark: SparkSession, path: str, unwrap: bool = True) -> DataFrame
     if unwrap:
         single = single & ~F.array_contains(F.json_object_keys("v"), "data")
     rows = F.when(single, F.array("v")).otherwise(listed)
-    return text.select(F.posexplode(rows).alias("_i", "sample")).select("sample")
+    return text.select(F.posexplode(rows).alias("_i", "sample"), *ORIGIN).select("sample", *ORIGIN)
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
     """A list gives its elements, an object its ``data`` list or itself as one row.
 
+    A file or folder whose first two lines are whole objects is JSON Lines.
+
     An array written with two-space indent is read by many tasks; any other
     layout is one document and so one task per file: prefer JSON Lines.
     """
@@ -88,12 +117,13 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
 
 def _csv_typed(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     raw = spark.read.csv(path, header=True, multiLine=multi_line, escape='"', quote='"')
-    cells = raw.select(
-        *[F.when(~F.col(f"`{c}`").isin(MISSING_CELLS), F.col(f"`{c}`")).alias(c) for c in raw.columns]
+    names = raw.columns
+    cells = _with_origin(raw).select(
+        *[F.when(~F.col(f"`{c}`").isin(MISSING_CELLS), F.col(f"`{c}`")).alias(c) for c in names], *ORIGIN
     )
     kinds = ("bigint", "double")
     misses = []
-    for i, c in enumerate(cells.columns):
+    for i, c in enumerate(names):
         col = F.col(f"`{c}`")
         misses += [
             F.count_if(col.isNotNull() & col.try_cast(k).isNull()).alias(f"{i}_{k}") for k in kinds
@@ -102,7 +132,7 @@ def _csv_typed(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
         misses.append(F.count(col).alias(f"{i}_n"))
     found = cells.agg(*misses).first()
     typed = []
-    for i, c in enumerate(cells.columns):
+    for i, c in enumerate(names):
         col = F.col(f"`{c}`")
         if not found[f"{i}_n"]:
             kind = "double"
@@ -111,7 +141,7 @@ def _csv_typed(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
         else:
             kind = next((k for k in kinds if not found[f"{i}_{k}"]), "string")
         typed.append(col.cast(kind).alias(c))
-    return cells.select(*typed)
+    return cells.select(*typed, *ORIGIN)
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
@@ -126,8 +156,8 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
 
 def to_samples(df: DataFrame, out: str = "sample") -> DataFrame:
     """A typed table as ``pos`` and JSON samples holding every column, NULLs included."""
-    fields = [F.col(f"`{c}`") for c in df.columns if c != "pos"]
-    kept = ["pos"] if "pos" in df.columns else []
+    kept = [c for c in df.columns if c in ("pos", *ORIGIN)]
+    fields = [F.col(f"`{c}`") for c in df.columns if c not in kept]
     return df.select(*kept, F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias(out))
 
 
@@ -147,7 +177,7 @@ def detect_format(spark: SparkSession, path: str) -> str:
     return "json" if line[:1] in ("[", "{") else "csv"
 
 
-def _rows(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+def _rows(spark: SparkSession, path: str, fmt: str, multi_line: bool = True) -> DataFrame:
     if fmt == "auto":
         fmt = detect_format(spark, path)
     if fmt == "jsonl":
@@ -155,17 +185,17 @@ def _rows(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     if fmt in JSON_ALIASES:
         return _json_rows(spark, path)
     if fmt == "csv":
-        return to_samples(_csv_typed(spark, path, multi_line=True))
+        return to_samples(_csv_typed(spark, path, multi_line))
     raise ValueError(f"unsupported format: {fmt}")
 
 
-def load(spark: SparkSession, path: str, fmt: str = "auto") -> DataFrame:
-    """Load one data set as ``pos``, ``sample``."""
-    return with_positions([_rows(spark, path, fmt)])
+def load(spark: SparkSession, path: str, fmt: str = "auto", multi_line: bool = True) -> DataFrame:
+    """Load one data set as ``pos``, ``sample``; ``multi_line`` as in :func:`read_csv`."""
+    return with_positions([_rows(spark, path, fmt, multi_line)])
 
 
 def load_many(
-    spark: SparkSession, paths: list[str], formats: list[str] | None = None
+    spark: SparkSession, paths: list[str], formats: list[str] | None = None, multi_line: bool = True
 ) -> DataFrame:
     """Load several data sets in order and tag every sample with ``_source``.
 
@@ -177,9 +207,9 @@ def load_many(
         raise ValueError("give one format per path")
     frames = []
     for path, fmt in zip(paths, formats):
-        rows = _rows(spark, path, fmt)
+        rows = _rows(spark, path, fmt, multi_line)
         tagged = _with_key(F.col("sample"), "_source", path)
-        frames.append(rows.select(tagged.alias("sample"), F.lit(path).alias("_source")))
+        frames.append(rows.select(tagged.alias("sample"), F.lit(path).alias("_source"), *ORIGIN))
     return with_positions(frames)
 
 

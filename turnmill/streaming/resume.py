@@ -31,13 +31,15 @@ def read_ledger(spark: SparkSession, path: str, key: str = "sample_id") -> DataF
 
 
 def record(results: DataFrame, out: str, ledger: str, key: str = "sample_id") -> None:
-    """Append results, then their keys.
+    """Append results, then the keys of what was written, so ``results`` runs once.
 
-    Results go first: a run that dies in between repeats those rows instead of
-    losing them, and :func:`finished` reads each key once.
+    Results go first: a run that dies in between leaves rows that the next call
+    records, and :func:`finished` reads each key once.
     """
     results.write.mode("append").parquet(out)
-    results.select(key, "success").write.mode("append").parquet(ledger)
+    spark = results.sparkSession
+    written = spark.read.parquet(out).select(key, "success").dropDuplicates([key])
+    pending(written, read_ledger(spark, ledger, key), key).write.mode("append").parquet(ledger)
 
 
 def finished(spark: SparkSession, out: str, key: str = "sample_id") -> DataFrame:
