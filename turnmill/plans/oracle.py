@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-from turnmill.functions.samples import CONTINUATIONS
-from turnmill.functions.text import WHITESPACE
-from turnmill.operators.turns import VALIDATION_ERROR
+# Fixed values, spelled out here so that a wrong one in the code does not pass.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
+    "               　"
+)
+VALIDATION_ERROR = "Generated conversation failed validation"
+CONTINUATIONS = [
+    "请继续详细说明。",
+    "能否进一步解释？",
+    "还有其他要补充的吗？",
+    "Please provide more details.",
+    "Could you elaborate further?",
+    "Are there any additional points to consider?",
+]
 
 STRIP = f"trim({{}}, '{WHITESPACE}')"
 PICK = "(('0x' || substr(md5({}), 1, 7))::BIGINT % {})"
