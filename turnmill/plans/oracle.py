@@ -4,8 +4,8 @@ from __future__ import annotations
 
 # Fixed values, spelled out here so that a wrong one in the code does not pass.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "               　"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
+    "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 VALIDATION_ERROR = "Generated conversation failed validation"
 CONTINUATIONS = [
