@@ -59,6 +59,9 @@ def test_ledger(spark, tmp_path):
     resume.record(done, out, ledger)  # a repeated part
     assert resume.pending(samples, resume.read_ledger(spark, ledger)).count() == 0
     assert sorted(r.sample_id for r in resume.finished(spark, out).collect()) == [0, 1, 2, 3, 4]
+    resume.record(samples.filter("sample_id = 0").withColumn("success", F.lit(False)), out, ledger)
+    last = {r.sample_id: r.success for r in resume.finished(spark, out).collect()}
+    assert last == {0: False, 1: True, 2: True, 3: False, 4: False}
 
 
 def test_new_files_only(spark, tmp_path):

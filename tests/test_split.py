@@ -124,3 +124,24 @@ def test_keys_at_the_ends_of_the_range(spark):
     assert sorted(r["id"] for r in rows if r["split"] == "train") == sorted(keys)[:4]
     ranks = {r["id"]: r["rank"] for r in positions.with_rank(df, "id").collect()}
     assert [ranks[k] for k in sorted(keys)] == list(range(len(keys)))
+
+
+def test_ranks_use_many_tasks_beside_an_outlier(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") == 0, 1 << 62).otherwise(F.col("id")).alias("id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = positions.with_rank(df, "id")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert ranked.filter("id < 20000 AND rank <> id - 1").count() == 0
+    assert ranked.filter(f"id = {1 << 62}").first()["rank"] == 19_999
+    # One file per task that sorted a range.
+    shares = [spark.read.parquet(f).count() for f in set(ranked.inputFiles())]
+    assert len(shares) >= 4 and max(shares) < 15_000
+
+
+def test_a_label_per_two_rows_splits(spark):
+    df = spark.range(400).select(F.col("id").alias("pos"), F.expr("id DIV 2").alias("category"))
+    rows = split.stratified_split(df, test_ratio=0.5, train_ratio=0.5).groupBy("category")
+    sides = rows.agg(F.count_distinct("split").alias("n")).filter("n = 2").count()
+    assert sides == 200

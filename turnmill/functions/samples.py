@@ -16,7 +16,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from turnmill.functions.text import hash_pick, strip
 
@@ -51,19 +51,37 @@ TEXT_PAIRS = [("instruction", "output"), ("question", "answer"), ("prompt", "res
 LONG_VALUE = 10
 MIN_TEXT = 10
 
+# Kinds of JSON value whose Python text needs no Python.
+PRINTED = ("VOID", "BOOLEAN", "STRING", "BIGINT")
 
-@F.pandas_udf(StringType())
-def _python_text(values: pd.Series) -> pd.Series:
-    """How Python prints a JSON list, object or fraction; other rows arrive as NULL."""
-    return values.map(lambda v: None if v is None else str(json.loads(v)))
+
+def _python_text(value: str | None) -> str | None:
+    return None if value is None else str(json.loads(value))
+
+
+def _indented_text(value: str | None) -> str | None:
+    return None if value is None else json.dumps(json.loads(value), ensure_ascii=False, indent=2)
+
+
+@F.pandas_udf(StructType([StructField(c, StringType()) for c in ("first", "second", "whole")]))
+def _printed(first: pd.Series, second: pd.Series, whole: pd.Series) -> pd.DataFrame:
+    """Two JSON values as Python prints them and an object with two-space indent.
+
+    What does not need Python arrives as NULL, which is most of it.
+    """
+    return pd.DataFrame(
+        {
+            "first": first.map(_python_text),
+            "second": second.map(_python_text),
+            "whole": whole.map(_indented_text),
+        }
+    )
 
 
 @F.pandas_udf(StringType())
 def _indented(values: pd.Series) -> pd.Series:
     """The object as JSON with two-space indent; rows not needing it arrive as NULL."""
-    return values.map(
-        lambda v: None if v is None else json.dumps(json.loads(v), ensure_ascii=False, indent=2)
-    )
+    return values.map(_indented_text)
 
 
 def parse(sample: Column) -> Column:
@@ -85,19 +103,45 @@ def _as_string(value: Column) -> Column:
     return F.try_variant_get(value, "$", "string")
 
 
-def field_text(sample: Column, parsed: Column, key: str) -> Column:
-    """A present value as text the way Python formats it: None, True, 12, abc."""
-    value = parsed[key]
-    kind = _kind(value)
-    odd = has(parsed, key) & ~kind.isin("VOID", "BOOLEAN", "STRING", "BIGINT")
-    # Only odd rows are parsed again, keeping nested key order, and sent to Python.
-    raw = F.from_json(F.when(odd, sample), "map<string,string>")[key]
-    return (
-        F.when(kind == "VOID", F.lit("None"))
-        .when(kind == "BOOLEAN", F.initcap(_as_string(value)))
-        .when(odd, _python_text(raw))
-        .otherwise(_as_string(value))
-    )
+def _with_fields(
+    work: DataFrame, sample: str, first: Column, second: Column, whole: Column
+) -> DataFrame:
+    """Add ``_first`` and ``_second``, the values of two keys as Python formats them, and ``_whole``.
+
+    The keys are chosen per row (NULL for none), so one further parse, which keeps
+    nested key order, and one Python call serve every template: None, True, 12 and
+    abc are printed natively, lists, objects and fractions go to Python.
+    """
+    parsed = F.col("_parsed")
+    work = work.withColumns({"_k1": first, "_k2": second})
+    work = work.withColumns({"_v1": parsed[F.col("_k1")], "_v2": parsed[F.col("_k2")]})
+    work = work.withColumns({"_t1": _kind(F.col("_v1")), "_t2": _kind(F.col("_v2"))})
+    odd = {i: F.coalesce(~F.col(f"_t{i}").isin(*PRINTED), F.lit(False)) for i in (1, 2)}
+    work = work.withColumns({"_o1": odd[1], "_o2": odd[2], "_w": whole})
+    needs = F.col("_o1") | F.col("_o2")
+    work = work.withColumn("_raws", F.from_json(F.when(needs, F.col(sample)), "map<string,string>"))
+    raw = {i: F.when(F.col(f"_o{i}"), F.col("_raws")[F.col(f"_k{i}")]) for i in (1, 2)}
+    work = work.withColumn("_py", _printed(raw[1], raw[2], F.when(F.col("_w"), F.col(sample))))
+
+    def text(i: int, printed: str) -> Column:
+        value, kind = F.col(f"_v{i}"), F.col(f"_t{i}")
+        return (
+            F.when(kind == "VOID", F.lit("None"))
+            .when(kind == "BOOLEAN", F.initcap(_as_string(value)))
+            .when(F.col(f"_o{i}"), F.col(f"_py.{printed}"))
+            .otherwise(_as_string(value))
+        )
+
+    made = [f"_{c}{i}" for c in "kvto" for i in (1, 2)] + ["_w", "_raws", "_py"]
+    return work.withColumns(
+        {"_first": text(1, "first"), "_second": text(2, "second"), "_whole": F.col("_py.whole")}
+    ).drop(*made)
+
+
+def _chosen(choice: Column, values: list[str | None]) -> Column:
+    """The entry of ``values`` at the row's choice; NULL where there is none."""
+    listed = F.array(*[F.lit(v).cast("string") for v in values])
+    return F.get(listed, choice)
 
 
 def _fill(template: str, lookup: Callable[[str], Column]) -> Column:
@@ -110,29 +154,28 @@ def _fill(template: str, lookup: Callable[[str], Column]) -> Column:
     return F.concat(*parts)
 
 
+def _template_keys(template: str) -> list[str]:
+    return [key for _, key, _, _ in string.Formatter().parse(template) if key]
+
+
 def with_prompt(df: DataFrame, sample: str = "sample", out: str = "prompt") -> DataFrame:
     """Derive the prompt of each raw sample."""
     work = df.withColumn("_parsed", parse(F.col(sample)))
-    raw, parsed = F.col(sample), F.col("_parsed")
-    needed = sorted({k for keys, _ in PROMPT_TEMPLATES for k in keys} - {"answer"})
-    # A field is rendered only in rows whose chosen template uses it.
+    parsed = F.col("_parsed")
     choice = F.lit(len(PROMPT_TEMPLATES))
     for i, (keys, _) in reversed(list(enumerate(PROMPT_TEMPLATES))):
         choice = F.when(has(parsed, *keys), F.lit(i)).otherwise(choice)
     work = work.withColumn("_choice", choice)
-    used = {
-        k: [i for i, (_, t) in enumerate(PROMPT_TEMPLATES) if "{" + k + "}" in t] for k in needed
-    }
-    for key in needed:
-        here = F.when(F.col("_choice").isin(used[key]), raw)
-        own = F.when(F.col("_choice").isin(used[key]), parsed)
-        work = work.withColumn(f"_f_{key}", field_text(here, own, key))
-    whole = F.col("_choice") == len(PROMPT_TEMPLATES)
-    text = F.concat(F.lit(WHOLE_SAMPLE_PREFIX), _indented(F.when(whole, raw)))
+    # No template has more than two places: the row's own two keys are looked up.
+    used = [_template_keys(t) for _, t in PROMPT_TEMPLATES]
+    names = [{k: f"_{place}" for k, place in zip(keys, ("first", "second"))} for keys in used]
+    keyed = [_chosen(F.col("_choice"), [(k + [None, None])[i] for k in used]) for i in (0, 1)]
+    work = _with_fields(work, sample, *keyed, F.col("_choice") == len(PROMPT_TEMPLATES))
+    text = F.concat(F.lit(WHOLE_SAMPLE_PREFIX), F.col("_whole"))
     for i, (_, template) in reversed(list(enumerate(PROMPT_TEMPLATES))):
-        filled = _fill(template, lambda k: F.col(f"_f_{k}"))
+        filled = _fill(template, lambda k, i=i: F.col(names[i][k]))
         text = F.when(F.col("_choice") == i, filled).otherwise(text)
-    return work.withColumn(out, text).drop("_parsed", "_choice", *[f"_f_{k}" for k in needed])
+    return work.withColumn(out, text).drop("_parsed", "_choice", "_first", "_second", "_whole")
 
 
 def prompt_column(columns: list[str]) -> Column:
@@ -163,7 +206,16 @@ def sft_text(conversations: Column) -> Column:
     return F.array_join(F.flatten(both), " ")
 
 
-def _text_from(raw: Column, parsed: Column) -> Column:
+def _with_text(work: DataFrame, sample: str, out: str) -> DataFrame:
+    """The text of samples that are parsed already in ``_parsed``."""
+    parsed = F.col("_parsed")
+    choice = F.lit(None).cast("int")
+    for i, pair in reversed(list(enumerate(TEXT_PAIRS))):
+        choice = F.when(has(parsed, *pair), F.lit(i)).otherwise(choice)
+    choice = F.when(~has(parsed, "conversations"), choice)
+    work = work.withColumn("_choice", choice)
+    keyed = [_chosen(F.col("_choice"), [pair[i] for pair in TEXT_PAIRS]) for i in (0, 1)]
+    work = _with_fields(work, sample, *keyed, F.lit(False))
     spoken = F.transform(
         _conversation_items(parsed),
         lambda c: F.array(
@@ -175,30 +227,26 @@ def _text_from(raw: Column, parsed: Column) -> Column:
         F.map_values(parsed),
         lambda v: (_kind(v) == "STRING") & (F.length(_as_string(v)) > LONG_VALUE),
     )
-    text = F.array_join(F.transform(long_strings, _as_string), " ")
-    for first, second in reversed(TEXT_PAIRS):
-        present = has(parsed, first, second)
-        pair_raw, pair = F.when(present, raw), F.when(present, parsed)
-        joined = F.concat(
-            field_text(pair_raw, pair, first), F.lit(" "), field_text(pair_raw, pair, second)
-        )
-        text = F.when(present, joined).otherwise(text)
-    spoken_text = F.array_join(F.flatten(spoken), " ")
-    return F.coalesce(
-        F.when(has(parsed, "conversations"), spoken_text).otherwise(text), F.lit("")
+    text = (
+        F.when(has(parsed, "conversations"), F.array_join(F.flatten(spoken), " "))
+        .when(F.col("_choice").isNotNull(), F.concat("_first", F.lit(" "), "_second"))
+        .otherwise(F.array_join(F.transform(long_strings, _as_string), " "))
+    )
+    return work.withColumn(out, F.coalesce(text, F.lit(""))).drop(
+        "_choice", "_first", "_second", "_whole"
     )
 
 
 def with_text(df: DataFrame, sample: str = "sample", out: str = "text") -> DataFrame:
     """Add the text of each raw sample."""
     work = df.withColumn("_parsed", parse(F.col(sample)))
-    return work.withColumn(out, _text_from(F.col(sample), F.col("_parsed"))).drop("_parsed")
+    return _with_text(work, sample, out).drop("_parsed")
 
 
 def with_validity(df: DataFrame, sample: str = "sample", out: str = "valid") -> DataFrame:
     """Add whether each raw sample is usable."""
     work = df.withColumn("_parsed", parse(F.col(sample)))
-    work = work.withColumn("_text", _text_from(F.col(sample), F.col("_parsed")))
+    work = _with_text(work, sample, "_text")
     parsed = F.col("_parsed")
     items = _conversation_items(parsed)
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from turnmill.session import save_step
+
 ROW_BITS = 33  # row number bits of monotonically_increasing_id
-BUCKETS = 65_536
 BROADCAST_ROWS = 100_000  # about 200 bytes each
 
 
@@ -54,32 +55,34 @@ def distance(key: str, low: int, high: int) -> str:
     return f"(cast(`{key}` as decimal(20,0)) - ({low}))" if wide else f"(`{key}` - ({low}))"
 
 
-def with_rank(df: DataFrame, key: str = "pos", out: str = "rank") -> DataFrame:
-    """0-based rank of a unique integer key, sorted per value range only.
+def number_rows(df: DataFrame, *order: str | Column, out: str = "rank") -> DataFrame:
+    """0-based place of each row in ``order``, which must be unique.
 
-    Ranges are numbered by counts, so a row's rank is its range's offset plus
-    its place inside the range; no task sees more than one range.
+    Spark cuts the rows into ranges of about equal size, whatever the values are,
+    and sorts each. They are written once, so that the counts of the ranges, which
+    become their offsets, belong to the very rows that are numbered.
     """
-    low, high = df.agg(F.min(key), F.max(key)).first()
-    if low is None:
-        return df.withColumn(out, F.lit(0).cast("bigint"))
-    width = (high - low) // BUCKETS + 1
-    bucket = F.expr(f"{distance(key, low, high)} DIV {width}")
-    tagged = df.withColumn("_b", bucket)
-    sizes = tagged.groupBy("_b").agg(F.count("*").alias("n"))
-    # At most 65,536 counts enter this window and the broadcast below.
-    offsets = sizes.select(
-        "_b", (F.sum("n").over(Window.orderBy("_b")) - F.col("n")).alias("_off")
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    rows = save_step(
+        ranged.withColumns({"_range": F.spark_partition_id(), "_place": inside}), "ranges"
     )
-    place = F.row_number().over(Window.partitionBy("_b").orderBy(key))
+    sizes = rows.groupBy("_range").agg(F.count("*").alias("n"))
+    # One count per shuffle partition enters this window and the broadcast below.
+    before = F.sum("n").over(Window.orderBy("_range")) - F.col("n")
+    offsets = sizes.select("_range", before.alias("_off"))
     return (
-        tagged.withColumn("_r", place)
-        .join(F.broadcast(offsets), "_b")
-        .withColumn(out, F.col("_off") + F.col("_r") - 1)
-        .drop("_b", "_r", "_off")
+        rows.join(F.broadcast(offsets), "_range")
+        .withColumn(out, F.col("_off") + F.col("_place"))
+        .drop("_range", "_place", "_off")
     )
 
 
+def with_rank(df: DataFrame, key: str = "pos", out: str = "rank") -> DataFrame:
+    """0-based rank of a unique integer key, by ranges of equal size."""
+    return number_rows(df, key, out=out)
+
+
 def batch_numbers(
     df: DataFrame, key: str = "pos", batch_size: int = 16, out: str = "batch"
 ) -> DataFrame:

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnmill.operators.positions import distance
+from turnmill.operators.positions import distance, number_rows
 
 TRAIN_RATIO = 0.8
 TEST_RATIO = 0.2
@@ -124,10 +124,10 @@ def _train_quotas(totals: DataFrame, n: int, n_train: int) -> DataFrame:
     share = F.col("n") / F.lit(float(n)) * F.lit(float(n_train))
     base = totals.withColumn("floor", F.floor(share)).withColumn("rest", share - F.floor(share))
     spare = n_train - base.agg(F.sum("floor")).first()[0]
-    # One row per label is ranked here, never a data row.
-    order = Window.orderBy(F.desc("rest"), F.asc("label"))
-    extra = F.when(F.row_number().over(order) <= F.lit(spare), 1).otherwise(0)
-    return base.select("label", (F.col("floor") + extra).alias("quota"))
+    # Labels may be as many as half of the rows, so they are numbered in ranges.
+    placed = number_rows(base, F.desc("rest"), F.asc("label"), out="place")
+    extra = F.when(F.col("place") < F.lit(spare), 1).otherwise(0)
+    return placed.select("label", (F.col("floor") + extra).alias("quota"))
 
 
 def stratified_split(

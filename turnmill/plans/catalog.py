@@ -45,6 +45,34 @@ def json_roundtrip(spark, sf):
     return _fields(files.load(spark, path), DOC_FIELDS)
 
 
+def json_document(spark, sf):
+    """Documents as JSON files of three shapes: lists, lists under ``data``, single objects.
+
+    A file holds the documents of one group of 50, or the one whose place there is 7.
+    """
+    place = F.col("doc_id") % 50
+    shape = F.when(place == 7, "single").when(F.expr("doc_id DIV 50 % 2 = 0"), "list").otherwise("data")
+    docs = _docs(spark, sf).select(
+        F.expr("doc_id DIV 50").alias("g"),
+        shape.alias("shape"),
+        F.struct("doc_id", "text", "lang", "source", "n_chars").alias("doc"),
+    )
+    groups = docs.groupBy("g", "shape").agg(F.collect_list("doc").alias("data"))
+    plain, pretty = {"ignoreNullFields": "false"}, {"ignoreNullFields": "false", "pretty": "true"}
+    texts = {
+        "list": F.to_json("data", plain),
+        "data": F.to_json(F.struct("data"), pretty),
+        "single": F.to_json(F.col("data")[0], pretty),
+    }
+    rows = []
+    for name, text in texts.items():
+        path = step_path(spark, f"{name}.json")
+        files_of = groups.filter(F.col("shape") == name).select(text.alias("value"))
+        files_of.write.option("maxRecordsPerFile", 1).text(path)
+        rows.append(files.load(spark, path))
+    return _fields(rows[0].unionAll(rows[1]).unionAll(rows[2]), DOC_FIELDS)
+
+
 def csv_roundtrip(spark, sf):
     path = step_path(spark, "docs.csv")
     writers.write_csv(_docs(spark, sf), path)
@@ -86,6 +114,13 @@ def split_stratified(spark, sf):
     return split.stratified_split(_docs(spark, sf).select("doc_id", "lang"), "lang", "doc_id")
 
 
+def stratified_labels(spark, sf):
+    """By quality label; most documents have none and count as ``unknown``."""
+    quality_of = A.table(spark, sf, "labels").select("doc_id", "quality")
+    rows = _docs(spark, sf).select("doc_id").join(quality_of, "doc_id", "left")
+    return split.stratified_split(rows, "quality", "doc_id")
+
+
 def test_subsample(spark, sf):
     return split.subsample_test(split_shuffle(spark, sf), "doc_id")
 
@@ -377,15 +412,26 @@ def flagship(spark, sf):
     return formats.to_format(records, "alpaca", key="sample_id")
 
 
+def flagship_records(spark, sf):
+    """The same chain without removal of near duplicates."""
+    samples = A.conversation_pairs(spark, sf).select("sample_id").distinct()
+    attempts = A.conversation_attempts(spark, sf)
+    records = build_records(samples, attempts, filter_duplicates=False)
+    made = formats.to_format(records, "alpaca", key="sample_id")
+    return made.join(records.select("sample_id", "split"), "sample_id")
+
+
 QUERIES: dict[str, Query] = {
     "jsonl_roundtrip": jsonl_roundtrip,
     "json_roundtrip": json_roundtrip,
+    "json_document": json_document,
     "csv_roundtrip": csv_roundtrip,
     "load_many": load_many,
     "merge_union_all": merge_union_all,
     "split_shuffle": split_shuffle,
     "split_ordered": split_ordered,
     "split_stratified": split_stratified,
+    "stratified_labels": stratified_labels,
     "test_subsample": test_subsample,
     "split_stats": split_stats,
     "split_field_stats": split_field_stats,
@@ -424,4 +470,5 @@ QUERIES: dict[str, Query] = {
     "run_summary": run_summary,
     "resume_pending": resume_pending,
     "flagship": flagship,
+    "flagship_records": flagship_records,
 }

@@ -76,7 +76,7 @@ rounds AS (
     CASE WHEN doc_id % 7 = 3 THEN ({CLIENT_LIST})[doc_id % 3 + 1] END, doc_id + 0.5::DOUBLE
   FROM documents WHERE doc_id % 7 = 3 OR n_chars % 11 = 0)
 """
-HISTORY = f"""{ROUNDS},
+JUDGED = f"""
 judged AS (SELECT *, ok AND {valid('response')} AS good FROM rounds WHERE round <= 10),
 counted AS (
   SELECT *, count(*) FILTER (WHERE good) OVER (PARTITION BY sample_id ORDER BY round) AS turn_no
@@ -88,6 +88,7 @@ history AS (
   WHERE good AND NOT EXISTS (SELECT 1 FROM ended f
     WHERE f.sample_id = e.sample_id AND f.round < e.round AND f.ends))
 """
+HISTORY = f"{ROUNDS}, {JUDGED}"
 RESULTS = f"""{HISTORY},
 samples AS (SELECT DISTINCT doc_id // 6 AS sample_id FROM documents),
 spans AS (SELECT sample_id, max(ts) - min(ts) AS span FROM rounds GROUP BY sample_id),
@@ -113,6 +114,14 @@ pairs AS (
     text AS prompt, next_text AS response, turn
   FROM next_turns WHERE role = 'user' AND next_role = 'assistant')
 """
+SPOKEN_HISTORY = f"""{PAIRS}, rounds AS (
+  SELECT sample_id, round, prompt, response, true AS ok, '' AS client, turn::DOUBLE AS ts
+  FROM pairs), {JUDGED},
+places AS (
+  SELECT sample_id, row_number() OVER (ORDER BY md5('42:' || sample_id), sample_id) AS r,
+    trunc(count(*) OVER () * 0.8::DOUBLE) AS n_train, count(*) OVER () AS n
+  FROM (SELECT DISTINCT sample_id FROM pairs))
+"""
 RANKED = """
 winners AS (
   SELECT sample_id, round, response, client, ts FROM (
@@ -151,6 +160,7 @@ LINES = "[" + ", ".join("'" + x + "'" for x in CONTINUATIONS) + "]"
 ORACLE: dict[str, str] = {
     "jsonl_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "json_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "json_document": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "csv_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "load_many": "SELECT doc_id AS id, text, 'documents' AS source FROM documents "
     "UNION ALL SELECT item_id, text, 'benchmark' FROM benchmark",
@@ -160,6 +170,11 @@ ORACLE: dict[str, str] = {
     "split_ordered": "SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY doc_id) <= "
     "trunc(count(*) OVER () * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split FROM documents",
     "split_stratified": f"WITH {STRATIFIED} SELECT doc_id, lang, split FROM stratified",
+    "stratified_labels": f"""WITH labelled AS (
+        SELECT d.doc_id, quality, coalesce(quality::VARCHAR, 'unknown') AS lang
+        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+      {STRATIFIED.replace("documents", "labelled")}
+      SELECT s.doc_id, quality, split FROM stratified s JOIN labelled l ON s.doc_id = l.doc_id""",
     "test_subsample": f"SELECT doc_id, {TRAIN} FROM ({SHUFFLED}) WHERE r <= "
     "trunc(n * 0.8::DOUBLE) + least(n - trunc(n * 0.8::DOUBLE), trunc(n * 0.8::DOUBLE) // 10)",
     "split_stats": f"WITH {STRATIFIED} SELECT count(*) AS total_samples, "
@@ -263,6 +278,12 @@ ORACLE: dict[str, str] = {
     "to_chatglm": f"""WITH {RESULTS}
       SELECT sample_id, arg_min(prompt, round) AS prompt, arg_min(response, round) AS response,
         0::BIGINT AS n_history FROM history GROUP BY sample_id""",
+    "flagship_records": f"""WITH {SPOKEN_HISTORY}
+      SELECT sample_id, arg_min(prompt, round) AS instruction, '' AS input,
+        arg_min(response, round) AS output,
+        CASE WHEN any_value(r <= n_train) THEN 'train' ELSE 'test' END AS split
+      FROM history JOIN places USING (sample_id)
+      WHERE r <= n_train + least(n - n_train, n_train // 10) GROUP BY sample_id""",
     "preview_text": "SELECT doc_id, CASE WHEN length(text) <= 200 THEN text "
     "ELSE substr(text, 1, 197) || '...' END AS preview FROM documents",
     "token_estimate": f"SELECT doc_id, {TOKENS} AS tokens FROM documents",

@@ -52,10 +52,16 @@ def _checked(value: Column, what: str) -> Column:
     return F.when(~one_json_value(value), bad.cast("string")).otherwise(value)
 
 
-def _jsonl_rows(spark: SparkSession, path: str, strict: bool) -> DataFrame:
-    lines = _with_origin(spark.read.text(path)).filter(strip(F.col("value")) != "")
+def checked_lines(lines: DataFrame, strict: bool = True) -> DataFrame:
+    """Text lines as JSON samples: blank lines are skipped, a bad line is an error."""
+    kept = lines.filter(strip(F.col("value")) != "")
     value = _checked(F.col("value"), "bad JSON line") if strict else F.col("value")
-    return lines.select(value.alias("sample"), *ORIGIN)
+    others = [c for c in lines.columns if c != "value"]
+    return kept.select(value.alias("sample"), *others)
+
+
+def _jsonl_rows(spark: SparkSession, path: str, strict: bool) -> DataFrame:
+    return checked_lines(_with_origin(spark.read.text(path)), strict)
 
 
 def read_jsonl(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:

@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from turnmill.sources.files import checked_lines
+
 
 def pending(samples: DataFrame, ledger: DataFrame, key: str = "sample_id") -> DataFrame:
     """Samples whose key is not in the ledger yet."""
@@ -43,8 +45,16 @@ def record(results: DataFrame, out: str, ledger: str, key: str = "sample_id") ->
 
 
 def finished(spark: SparkSession, out: str, key: str = "sample_id") -> DataFrame:
-    """All results written so far, one row per key."""
-    return spark.read.parquet(out).dropDuplicates([key])
+    """All results written so far, one row per key: the one of the file written last."""
+    written = spark.read.parquet(out)
+    stamp = F.struct("_metadata.file_modification_time", "_metadata.file_path")
+    last = Window.partitionBy(key).orderBy(F.desc("_stamp"))
+    return (
+        written.withColumn("_stamp", stamp)
+        .withColumn("_place", F.row_number().over(last))
+        .filter(F.col("_place") == 1)
+        .drop("_stamp", "_place")
+    )
 
 
 def run_new_files(
@@ -57,15 +67,14 @@ def run_new_files(
     """Process JSON Lines files that arrived in ``source`` since the last call.
 
     Each micro-batch owns one output folder and overwrites it when repeated, so
-    a restart neither loses nor doubles rows.
+    a restart neither loses nor doubles rows. Lines are checked as in ``read_jsonl``.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         work(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    lines = spark.readStream.text(source).filter(F.trim("value") != "")
     (
-        lines.withColumnRenamed("value", "sample")
+        checked_lines(spark.readStream.text(source))
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
