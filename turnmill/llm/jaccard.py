@@ -256,7 +256,8 @@ def similar_groups(
         ),
         "shingle_counts",
     )
-    entries = docs.select(binary).mapInArrow(_entries(words, percent), "key BIGINT, id BIGINT")
+    # Shuffled once: the count per piece and the join with it read the same files.
+    entries = docs.select(binary).mapInArrow(_entries(words, percent), "key BIGINT, id BIGINT").repartition("key")
     shared = (
         entries.groupBy("key")
         .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("m"))
