@@ -15,12 +15,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language go: null texts and texts without a letter.
+    """Documents without a language go: null texts, texts without a letter, and texts
+    that the parse finds too unlike every learned language.
 
     The model learns from all labelled rows; with none, it knows no language and
     every document with letters stays.
     """
-    model = language.fit(docs, F.lit(True))
+    model = language.fit(docs, F.lit(True), reject=True)
     if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     named = language.predict(docs, model, [F.struct("*").alias("row")])

@@ -28,6 +28,7 @@ SAMPLE_ROWS = 48  # labelled rows of each language that a model learns from
 SAMPLE_SYMBOLS = 1_000  # symbols of each such row
 SYMBOLS = 256  # most symbols of an alphabet; rarer ones match nothing
 BLOCK = 1024  # symbols that are parsed together; a phrase ends with its block
+SPARE = 2  # phrases that a text has free before its rate counts
 CHUNK = 2_000_000  # code points of texts that are handled together
 
 
@@ -84,6 +85,9 @@ class Model:
     ``moves[state * width + symbol]`` is the next state's row start times four plus
     the phrases that end with this step: one if the symbol starts a new phrase, two if
     it is a phrase of its own after an ended one.
+
+    ``levels`` are the bits per symbol, in each language, that a text may need; a text
+    that needs more in the language that wins is of none. Without them all texts are of one.
     """
 
     languages: list[str]
@@ -92,6 +96,7 @@ class Model:
     roots: np.ndarray
     bits: np.ndarray
     width: int
+    levels: np.ndarray | None = None
 
     def phrases(self, blocks: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of every block in every language; blocks sorted by falling length."""
@@ -130,18 +135,22 @@ class Model:
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language and score of every text. The score is the winner's share of
-        the probabilities that the bits stand for; a text without letters has none."""
+        the probabilities that the bits stand for; a text without letters or over the
+        winner's level has none."""
         if not self.languages:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        bits, _ = self.entropies(texts)
+        bits, sizes = self.entropies(texts)
         odds = np.exp2(np.clip(bits.min(axis=0) - bits, -60, 0))
         best = bits.argmin(axis=0)  # the first of equals
         score = 1 / odds.sum(axis=0)
+        fits = np.ones(len(texts), bool)
+        if self.levels is not None:
+            fits = bits.min(axis=0) <= sizes * self.levels[best] + SPARE * self.bits[best]
         letters = _letters()
         named, scores = [], []
-        for text, b, s in zip(texts, best.tolist(), score.tolist()):
+        for text, b, s, fit in zip(texts, best.tolist(), score.tolist(), fits.tolist()):
             points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-            known = bool(letters[points].any())
+            known = fit and bool(letters[points].any())
             named.append(self.languages[b] if known else UNKNOWN)
             scores.append(float(s) if known else 0.0)
         return named, scores
@@ -178,10 +187,40 @@ def train(sample: dict[str, list[str]]) -> Model:
     return Model(list(texts), alphabet, moves.astype(kind), np.array(roots, kind), np.array(bits), width)
 
 
-def fit(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
+def levels(sample: dict[str, list[str]], model: Model) -> np.ndarray:
+    """Bits per symbol that a text of each language may need, without two rows any number.
+
+    The geometric mean of a phrase per symbol, which is what an unlearned script needs, and
+    of what the worst row of the sample needs when the other half is learnt, or a code of
+    the sample's symbols, if that is more.
+    """
+    most = np.full(len(model.languages), np.inf)
+    for i, lang in enumerate(model.languages):
+        rows = sample[lang]
+        if len(rows) < 2:
+            continue
+        seen = set(np.concatenate([symbols(t)[:SAMPLE_SYMBOLS] for t in rows]).tolist())
+        most[i] = log2(len(seen) + 1)
+        for own, other in ((rows[::2], rows[1::2]), (rows[1::2], rows[::2])):
+            half = train({lang: other})
+            bits, sizes = half.entropies(own)
+            phrases = bits[0] / half.bits[0]
+            most[i] = max(most[i], ((phrases - SPARE) * model.bits[i] / np.maximum(sizes, 1)).max())
+    return np.sqrt(most * model.bits)
+
+
+def fit(
+    docs: DataFrame,
+    training: Column,
+    key: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+    reject: bool = False,
+) -> Model:
     """Learn from a bounded sample: ``SAMPLE_ROWS`` rows of each language, the first
     by a hash of their key, ``SAMPLE_SYMBOLS`` symbols of each. Rows without text,
     language or letters teach nothing. Spark limits the rows before the shuffle.
+    With ``reject`` the model has levels, so that texts of no learned language are ``und``.
     """
     rows = docs.filter(training & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key), F.col(text)).alias("turn")
@@ -194,7 +233,10 @@ def fit(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "tex
     sample: dict[str, list[str]] = {}
     for lang_value, _, value in sorted(tuple(r) for r in chosen.collect()):
         sample.setdefault(lang_value, []).append(value)
-    return train(sample)
+    model = train(sample)
+    if reject:
+        model.levels = levels(sample, model)
+    return model
 
 
 def predict(docs: DataFrame, model: Model, keep: list[Column], text: str = "text") -> DataFrame:
