@@ -26,7 +26,7 @@ from turnmill.llm.common import text_of
 UNKNOWN = "und"
 SAMPLE_ROWS = 48  # labelled rows of each language that a model learns from
 SAMPLE_SYMBOLS = 1_000  # symbols of each such row
-SYMBOLS = 256  # most symbols of an alphabet; rarer ones match nothing
+SYMBOLS = 256  # codes with a column in the table of moves; rarer symbols are looked up
 BLOCK = 1024  # symbols that are parsed together; a phrase ends with its block
 SPARE = 2  # phrases that a text has free before its rate counts
 CHUNK = 2_000_000  # code points of texts that are handled together
@@ -44,8 +44,9 @@ def symbols(text: str) -> np.ndarray:
     return np.where(letter, points, 32)[letter | np.concatenate([[True], letter[:-1]])].astype(np.uint32)
 
 
-def suffix_automaton(text: list[int], width: int) -> np.ndarray:
-    """Transitions of the automaton of all substrings; -1 where there is none."""
+def suffix_automaton(text: list[int], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Transitions of the automaton of all substrings: a table of codes below ``width``, -1
+    where there is none, and rows of state, code and target for the other codes."""
     steps: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in text:
@@ -72,10 +73,14 @@ def suffix_automaton(text: list[int], width: int) -> np.ndarray:
                 link[q] = link[state] = copy
         last = state
     table = np.full((len(steps), width), -1, np.int64)
+    rare = []
     for state, edges in enumerate(steps):
         for c, target in edges.items():
-            table[state, c] = target
-    return table
+            if c < width:
+                table[state, c] = target
+            else:
+                rare.append((state, c, target))
+    return table, np.array(rare, np.int64).reshape(-1, 3)
 
 
 @dataclass
@@ -84,7 +89,9 @@ class Model:
 
     ``moves[state * width + symbol]`` is the next state's row start times four plus
     the phrases that end with this step: one if the symbol starts a new phrase, two if
-    it is a phrase of its own after an ended one.
+    it is a phrase of its own after an ended one. Codes from ``width`` on are of symbols
+    that are too many for the table: ``rare_moves`` of the sorted ``rare_keys`` (state and
+    code), and ``rare_misses`` of a language and code where a state has no such move.
 
     ``levels`` are the bits per symbol, in each language, that a text may need; a text
     that needs more in the language that wins is of none. Without them all texts are of one.
@@ -92,20 +99,40 @@ class Model:
 
     languages: list[str]
     alphabet: np.ndarray
+    codes: np.ndarray
     moves: np.ndarray
     roots: np.ndarray
     bits: np.ndarray
     width: int
+    rare_keys: np.ndarray
+    rare_moves: np.ndarray
+    rare_misses: np.ndarray
     levels: np.ndarray | None = None
 
+    def rare(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Moves of the states of every language by codes that have no column."""
+        code = code - self.width
+        keys = state.astype(np.int64) // self.width * self.rare_misses.shape[1] + code
+        place = np.searchsorted(self.rare_keys, keys)
+        place[place == len(self.rare_keys)] = 0
+        roots = self.roots[:, None].astype(np.int64)
+        missed = np.where(state == roots, roots << 2 | 1, self.rare_misses[:, code])
+        return np.where(self.rare_keys[place] == keys, self.rare_moves[place], missed)
+
     def phrases(self, blocks: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of every block in every language; blocks sorted by falling length."""
         found = np.zeros((len(self.roots), len(lengths)), np.int64)
         state = np.repeat(self.roots[:, None], len(lengths), axis=1)
         columns = np.ascontiguousarray(blocks.T)
+        tabled = columns < self.width
+        dense = columns if tabled.all() else np.where(tabled, columns, 0)
+        lookups = ~tabled.all(axis=1)
         for i in range(int(lengths[0]) if len(lengths) else 0):
             active = int(np.searchsorted(-lengths, -i, side="left"))
-            move = self.moves[state[:, :active] + columns[i, :active]]
+            move = self.moves[state[:, :active] + dense[i, :active]]
+            if lookups[i]:
+                at = np.flatnonzero(~tabled[i, :active])
+                move[:, at] = self.rare(state[:, at], columns[i, at])
             state[:, :active] = move >> 2
             found[:, :active] += move & 3
         return found + (state != self.roots[:, None])
@@ -117,7 +144,7 @@ class Model:
         flat = np.concatenate(rows) if rows else np.empty(0, np.uint32)
         place = np.searchsorted(self.alphabet, flat)
         place[place == len(self.alphabet)] = 0
-        codes = np.where(self.alphabet[place] == flat, place + 1, 0).astype(np.int32)
+        codes = np.where(self.alphabet[place] == flat, self.codes[place], 0).astype(np.int32)
         counts = -(-sizes // BLOCK)
         owner = np.repeat(np.arange(len(sizes)), counts)
         inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -163,14 +190,25 @@ def train(sample: dict[str, list[str]]) -> Model:
     for rows in texts.values():
         for row in rows:
             seen.update(row.tolist())
-    alphabet = np.array(sorted(sorted(seen, key=lambda c: (-seen[c], c))[: SYMBOLS - 1]) or [32], np.uint32)
-    code = {c: i + 1 for i, c in enumerate(alphabet.tolist())}
-    width = len(alphabet) + 1
+    ranked = sorted(seen, key=lambda c: (-seen[c], c)) or [32]
+    code = {c: i + 1 for i, c in enumerate(ranked)}
+    alphabet = np.array(sorted(ranked), np.uint32)
+    codes = np.array([code[c] for c in alphabet.tolist()], np.int32)
+    width = min(len(ranked) + 1, SYMBOLS)
+    n_rare = len(ranked) + 1 - width
+    rare_keys, rare_moves = [], []
+    rare_misses = np.empty((len(texts), n_rare), np.int64)
     tables, roots, bits, base = [], [], [], 0
     for rows in texts.values():
         text = [code.get(c, 0) for row in rows for c in [*row.tolist(), 0]]
-        own = suffix_automaton(text, width)
+        own, edges = suffix_automaton(text, width)
         own[:, 0] = -1  # the end of a row and unknown symbols match nothing
+        by, symbol, to = edges.T
+        rare_keys.append((by + base) * n_rare + symbol - width)
+        rare_moves.append((to + base) * width << 2)
+        begin = by == 0
+        rare_misses[len(roots)] = base * width << 2 | 2
+        rare_misses[len(roots), symbol[begin] - width] = rare_moves[-1][begin] | 1
         start = np.where(own[0] >= 0, own[0], 0)
         missing = own < 0
         # After a miss the symbol starts a phrase, or is one if no phrase starts with it.
@@ -184,7 +222,20 @@ def train(sample: dict[str, list[str]]) -> Model:
     # 32-bit moves halve the memory that the parse runs through.
     moves = np.concatenate(tables) if tables else np.empty(0, np.int64)
     kind = np.int32 if base * width << 2 < 2**31 else np.int64
-    return Model(list(texts), alphabet, moves.astype(kind), np.array(roots, kind), np.array(bits), width)
+    keys, lookups = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (rare_keys, rare_moves))
+    order = np.argsort(keys)
+    return Model(
+        list(texts),
+        alphabet,
+        codes,
+        moves.astype(kind),
+        np.array(roots, kind),
+        np.array(bits),
+        width,
+        keys[order],
+        lookups[order],
+        rare_misses,
+    )
 
 
 def levels(sample: dict[str, list[str]], model: Model) -> np.ndarray:
