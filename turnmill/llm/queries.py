@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from turnmill.llm import (
     exact,
     fingerprints,
+    hard_negatives,
     jaccard,
     language,
     line_dedup,
     mixing,
     packing,
+    quality_votes,
     substring_dedup,
     token_counts,
     warc,
@@ -88,6 +90,21 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op11_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, by votes of labelled ones that are not held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = quality_votes.held_out()
+    model = quality_votes.fit(docs, read(spark, sf_dir, "labels"), ~held_out)
+    scored = quality_votes.score(docs, model, [F.col("doc_id"), held_out.alias("held_out")])
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, against all vectors."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op2_line_dedup": op2_line_dedup,
@@ -99,6 +116,8 @@ QUERIES: dict[str, Query] = {
     "op8_warc_roundtrip": op8_warc_roundtrip,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_neighbour_quality": op11_neighbour_quality,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -174,6 +193,25 @@ ORACLE: dict[str, str] = {
         first_value(doc_id) OVER (PARTITION BY norm ORDER BY chars DESC, doc_id) AS keep_id,
         count(*) OVER (PARTITION BY norm) AS group_size FROM d)
       SELECT doc_id, keep_id, group_size, r = 1 AS kept, sha256(norm) AS text_sha256 FROM g""",
+    "op13_hard_negatives": """
+      WITH vectors AS (SELECT vec_id,
+          CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+          [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+      scores AS (SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label,
+          coalesce(list_sum([coalesce(p[1] * p[2], 0) FOR p IN list_zip(a.v, b.v)]), 0)::BIGINT AS score
+        FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+      near AS (SELECT anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score
+        FROM scores WHERE label = anchor_label
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+      SELECT anchor_id, positive_id,
+        row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+        vec_id AS negative_id, positive_score, score AS negative_score
+      FROM near JOIN scores USING (anchor_id)
+      WHERE label <> near.anchor_label AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+      QUALIFY rank <= 3""",
 }
 
 _FIVE = "('0x' || substr(hex, {0}, 5))::BIGINT"
