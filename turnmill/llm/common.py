@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from turnmill.session import save_step, shared_dir
 
 SPACE = " \t\n\x0b\x0c\r"  # [\x20\x09-\x0D]
 WORD = r"[^\x20\x09-\x0D]+"
+SLICE = 1 << 22  # bytes of a text that are handled together
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,3 +50,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def file_system(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     """The file system of a URI, or of an absolute path, and the path in it."""
     return pyarrow.fs.FileSystem.from_uri(uri)
+
+
+def slices(data: bytes, size: int = SLICE) -> Iterator[tuple[int, int]]:
+    """Parts of a text of about ``size`` bytes, each cut at a blank if one follows."""
+    start = 0
+    while start < len(data):
+        end = data.find(b" ", start + size)
+        end = len(data) if end < 0 else end
+        yield start, end
+        start = end

@@ -68,14 +68,14 @@ def number_type(a: np.ndarray, b: np.ndarray) -> type:
 class Scan:
     """One anchor over one block of columns, a few columns at a time."""
 
-    def __init__(self, query: np.ndarray, block: Columns):
+    def __init__(self, query: np.ndarray, block: Columns, rows: np.ndarray | None = None):
         self.block = block
         self.query = query
         self.order = np.argsort(-np.abs(query.astype(np.float64)), kind="stable")
         ends = np.stack([query * block.least, query * block.greatest])[:, self.order]
         # What the columns from a place on can add, at least and at most.
         self.rest = [np.append(np.cumsum(e[::-1])[::-1], 0) for e in (ends.min(axis=0), ends.max(axis=0))]
-        self.rows = np.arange(block.values.shape[1])
+        self.rows = np.arange(block.values.shape[1]) if rows is None else rows
         self.sums = np.zeros(len(self.rows), query.dtype)
         self.read = 0
 
@@ -109,13 +109,13 @@ def nearest(query: np.ndarray, block: Columns, count: int) -> tuple[np.ndarray,
 
 
 def in_windows(
-    query: np.ndarray, block: Columns, windows: list[tuple[int, int]], count: int
+    query: np.ndarray, block: Columns, rows: np.ndarray, windows: list[tuple[int, int]], count: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Rows that can be among the ``count`` best of some window of scores, and scores.
+    """Those of ``rows`` that can be among the ``count`` best of some window of scores, and scores.
 
     Of a window, rows that lie in it for certain set the level that others must reach.
     """
-    scan = Scan(query, block)
+    scan = Scan(query, block, rows)
     while scan.more():
         low, high = scan.bounds()
         wanted = np.zeros(len(scan.rows), bool)
@@ -139,15 +139,9 @@ def best(scores: np.ndarray, ids: np.ndarray, places: np.ndarray, count: int) ->
     return np.array(ranked[:count], np.int64)
 
 
-def _blocks(rows: pa.Table, matrix: np.ndarray) -> dict[int, tuple[np.ndarray, Columns]]:
-    """The rows of every label as columns."""
-    labels = rows["label"].to_numpy()
-    found = {}
-    for label in np.unique(labels).tolist():
-        places = np.flatnonzero(labels == label)
-        values = np.ascontiguousarray(matrix[places].T)
-        found[label] = places, Columns(values, values.min(axis=1), values.max(axis=1))
-    return found
+def columns(matrix: np.ndarray) -> Columns:
+    values = np.ascontiguousarray(matrix.T)
+    return Columns(values, values.min(axis=1), values.max(axis=1))
 
 
 def _cells(rows: pa.Table, anchors: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -236,14 +230,18 @@ def mine(
         if not rows.num_rows or not anchors.num_rows:
             return table([])
         matrix, queries = _cells(rows, anchors)
-        by_label = _blocks(rows, matrix)
+        labels = rows["label"].to_numpy()
+        by_label = {}
+        for value in np.unique(labels).tolist():
+            places = np.flatnonzero(labels == value)
+            by_label[value] = places, columns(matrix[places])
         ids, rids = rows["id"].to_pylist(), rows["rid"].to_numpy()
         found = []
         for me, its_label, query in zip(anchors["rid"].to_pylist(), anchors["label"].to_pylist(), queries):
             if its_label not in by_label:
                 continue
-            places, columns = by_label[its_label]
-            near, scores = nearest(query, columns, positives + 1)  # the anchor itself may be one
+            places, block = by_label[its_label]
+            near, scores = nearest(query, block, positives + 1)  # the anchor itself may be one
             others = rids[places[near]] != me
             near, scores = places[near[others]], scores[others]
             for i in best(scores, [ids[p] for p in near], rids[near], positives):
@@ -265,7 +263,8 @@ def mine(
         if not rows.num_rows or not anchors.num_rows:
             return table([])
         matrix, queries = _cells(rows, anchors)
-        by_label = _blocks(rows, matrix)
+        block, labels = columns(matrix), rows["label"].to_numpy()
+        others = {value: np.flatnonzero(labels != value) for value in set(anchors["label"].to_pylist())}
         ids, rids = rows["id"].to_pylist(), rows["rid"].to_numpy()
         found = []
         own = zip(anchors["rid"].to_pylist(), anchors["label"].to_pylist(), anchors["windows"].to_pylist(), queries)
@@ -274,14 +273,7 @@ def mine(
             some = [w for w in limits if w[0] <= w[1]]
             if not some:
                 continue
-            parts = []
-            for other, (places, columns) in by_label.items():
-                if other != its_label:
-                    near, scores = in_windows(query, columns, some, negatives)
-                    parts.append((places[near], scores))
-            if not parts:
-                continue
-            near, scores = (np.concatenate(x) for x in zip(*parts))
+            near, scores = in_windows(query, block, others[its_label], some, negatives)
             for (least, most), w in zip(limits, positive):
                 inside = np.flatnonzero((scores >= least) & (scores <= most))
                 there = near[inside]

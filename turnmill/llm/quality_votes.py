@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from turnmill.llm.common import text_of
+from turnmill.llm.common import slices, text_of
 from turnmill.session import save_step
 
 SAMPLE_ROWS = 4_096  # labelled documents that a model learns from, at most
@@ -32,20 +32,9 @@ DIMENSIONS = 32
 NEIGHBOURS = 16  # that vote; with those as near as the last
 SHARPNESS = 8  # power of the cosine that a vote weighs
 DOCUMENTS = 256  # whose vectors are computed together
-SLICE = 1 << 22  # bytes of a text that are handled together
 SEED = 5
 
 
-def slices(data: bytes, size: int = SLICE) -> Iterator[tuple[int, int]]:
-    """Parts of a text of about ``size`` bytes, each cut at a blank if one follows."""
-    start = 0
-    while start < len(data):
-        end = data.find(b" ", start + size)
-        end = len(data) if end < 0 else end
-        yield start, end
-        start = end
-
-
 def term_counts(data: bytes) -> np.ndarray:
     """Counts of all terms of a whole text."""
     counts, last = np.zeros(TERMS, np.int64), b""

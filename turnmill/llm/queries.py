@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnmill.llm import (
+    collocations,
     exact,
     fingerprints,
     hard_negatives,
@@ -99,6 +100,11 @@ def op11_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of every language of all documents."""
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every fiftieth vector, against all vectors."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -117,6 +123,7 @@ QUERIES: dict[str, Query] = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_neighbour_quality": op11_neighbour_quality,
+    "op12_phrase_collocations": op12_phrase_collocations,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -193,6 +200,29 @@ ORACLE: dict[str, str] = {
         first_value(doc_id) OVER (PARTITION BY norm ORDER BY chars DESC, doc_id) AS keep_id,
         count(*) OVER (PARTITION BY norm) AS group_size FROM d)
       SELECT doc_id, keep_id, group_size, r = 1 AS kept, sha256(norm) AS text_sha256 FROM g""",
+    "op12_phrase_collocations": r"""
+      WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+      words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+      places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+      phrases AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS a
+        FROM places, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE i + m - 1 <= len(w) GROUP BY ALL),
+      totals AS (SELECT lang, sum(a)::BIGINT AS n FROM phrases WHERE m = 1 GROUP BY lang),
+      candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM phrases WHERE m > 1 AND a >= 30),
+      starts AS (SELECT *, unnest(range(1, m)) AS i FROM candidates WHERE m > 2),
+      longer AS (SELECT lang, array_to_string(w[i:i + o - 1], ' ') AS phrase, max(a) AS longest
+        FROM starts, (SELECT unnest([2, 3]) AS o) WHERE o < m AND i + o - 1 <= m GROUP BY ALL),
+      cuts AS (SELECT c.*, unnest(range(1, m)) AS k FROM candidates c LEFT JOIN longer USING (lang, phrase)
+        WHERE longest IS NULL OR 100 * longest < 80 * a),
+      scored AS (SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r,
+          ((2000000::HUGEINT * c.a) // (x.a::HUGEINT + y.a))::BIGINT AS score
+        FROM cuts c JOIN phrases x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+          JOIN phrases y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+        QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1)
+      SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+        phrase, a, l, r, n, score
+      FROM scored JOIN totals USING (lang) QUALIFY rank <= 2000""",
     "op13_hard_negatives": """
       WITH vectors AS (SELECT vec_id,
           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
