@@ -29,7 +29,7 @@ def test_equals_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
 
     def rows(frame):

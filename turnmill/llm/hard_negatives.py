@@ -192,8 +192,9 @@ def mine(
 
     Rows with a null label, a null vector or a component that is null or not finite take
     no part. Rows that repeat are rows of their own, also as anchors. Missing components
-    of shorter vectors are 0. Scores are exact; beyond 64 bits the least or greatest long
-    is returned, and components beyond 64 bits are cut off there.
+    of shorter vectors are 0. Scores are exact and ordered as such; one beyond 64 bits is
+    returned, and sets its window, as the least or greatest long. Components beyond 64 bits
+    are cut off there.
     """
     label = F.col("label") if label is None else label
     sound = F.forall(
