@@ -2,18 +2,46 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnmill.llm import exact, jaccard, language, mixing, packing
 from turnmill.llm.common import read
-from turnmill.session import save_step
+from turnmill.session import drop_steps, recorded, save_step
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+_left = threading.local()  # folders of steps that the last stage's result may still read
+
+
+def clean(spark: SparkSession, keep: DataFrame | None = None) -> None:
+    """Delete the steps of this thread's last stage, but those that ``keep`` reads.
+
+    Call it when the result of ``run`` or of a stage is written.
+    """
+    _left.folders = drop_steps(spark, getattr(_left, "folders", []), keep)
+
+
+def stage(work: Stage) -> Stage:
+    """A stage that first deletes the steps of the one before, whose result is written."""
+
+    @wraps(work)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        clean(spark, keep=docs)
+        with recorded() as made:
+            result = work(spark, docs, sf_dir)
+        _left.folders += made
+        return result
+
+    return run_stage
+
+
+@stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language go: null texts, texts without a letter, and texts
     that the parse finds too unlike every learned language.
@@ -28,21 +56,25 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return named.filter(F.col("lang_pred") != language.UNKNOWN).select("row.*")
 
 
+@stage
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of equal texts stays."""
     return exact.drop_exact(docs)
 
 
+@stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group linked by five-word shingles at 0.8 stays."""
     return jaccard.drop_similar(docs)
 
 
+@stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in mix order, repeated as often as the mix takes them."""
     return mixing.mix(docs)
 
 
+@stage
 def pack_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences without padding, with their ids."""
     return packing.pack(docs)
@@ -61,8 +93,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again for the next."""
-    docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = save_step(stage(spark, docs, sf_dir), name.replace(" ", "_"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over ``documents``, each written and read again for the next.
+
+    The result reads steps in the shared folder; ``clean`` deletes them.
+    """
+    docs, results = read(spark, sf_dir, "documents"), []
+    for name, work in STAGES[:-1]:
+        done = work(spark, docs, sf_dir)
+        with recorded() as made:
+            docs = save_step(done, name.replace(" ", "_"))
+        drop_steps(spark, results)
+        results = made
+    last = STAGES[-1][1](spark, docs, sf_dir)
+    _left.folders += results
+    return last

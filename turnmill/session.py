@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,9 +45,41 @@ def shared_dir(spark: SparkSession) -> str:
     return fallback
 
 
+_open = threading.local()
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders of all steps that this thread begins inside, for ``drop_steps``."""
+    if not hasattr(_open, "lists"):
+        _open.lists = []
+    folders: list[str] = []
+    _open.lists.append(folders)
+    try:
+        yield folders
+    finally:
+        _open.lists.remove(folders)
+
+
 def step_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/turnmill/{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_dir(spark)}/turnmill/{uuid.uuid4().hex}"
+    for folders in getattr(_open, "lists", []):
+        folders.append(folder)
+    return f"{folder}/{name}"
+
+
+def drop_steps(spark: SparkSession, folders: list[str], keep: DataFrame | None = None) -> list[str]:
+    """Delete recorded steps, but those that ``keep`` reads; returns the folders that stay.
+
+    For callers whose results are written: a result that is not can no longer be computed.
+    """
+    files = keep.inputFiles() if keep is not None and folders else []
+    left = [x for x in folders if any(f"/{os.path.basename(x)}/" in file for file in files)]
+    for folder in set(folders).difference(left):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return left
 
 
 def save_step(df: DataFrame, name: str) -> DataFrame:
