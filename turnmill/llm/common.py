@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnmill.session import save_step, shared_dir
+from turnmill.session import save_step, step_path
 
 SPACE = " \t\n\x0b\x0c\r"  # [\x20\x09-\x0D]
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,7 +40,7 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for files in the shared folder, as a path or URI."""
-    folder = f"{shared_dir(spark)}/turnmill/{uuid.uuid4().hex}/{name}"
+    folder = step_path(spark, name)
     system, path = file_system(folder)
     system.create_dir(path, recursive=True)
     return folder
@@ -52,11 +51,11 @@ def file_system(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri)
 
 
-def slices(data: bytes, size: int = SLICE) -> Iterator[tuple[int, int]]:
-    """Parts of a text of about ``size`` bytes, each cut at a blank if one follows."""
-    start = 0
+def slices(data: bytes | str, size: int = SLICE) -> Iterator[tuple[int, int]]:
+    """Parts of a text of about ``size`` bytes or characters, each cut at a blank if one follows."""
+    start, blank = 0, " " if isinstance(data, str) else b" "
     while start < len(data):
-        end = data.find(b" ", start + size)
+        end = data.find(blank, start + size)
         end = len(data) if end < 0 else end
         yield start, end
         start = end
