@@ -137,3 +137,29 @@ def test_jaccard(docs, none):
     assert {(r["n_shingles"], r["component_id"]) for r in rows if r["doc_id"] in (2, 3)} == {(0, 2), (0, 3)}
     assert sorted(r["doc_id"] or 0 for r in jaccard.drop_similar(docs).collect()) == [0, 0, 1, 1, 2, 3, 5, 6, 7]
     assert jaccard.drop_similar(none).columns == docs.columns and jaccard.similar_groups(none).count() == 0
+
+
+def test_clashing_names_of_joins(docs):
+    rows = docs.select("*", F.lit(1).alias("gone"), F.lit(1).alias("k"), F.lit(1).alias("h"), F.lit(1).alias("copies"))
+    assert sorted(r["doc_id"] or 0 for r in jaccard.drop_similar(rows).collect()) == [0, 0, 1, 1, 2, 3, 5, 6, 7]
+    assert exact.drop_exact(rows).columns == rows.columns and exact.drop_exact(rows).count() == 6
+    assert mixing.mix(rows).columns == rows.columns
+
+
+def test_exact_keeps_one_of_rows_with_one_key(spark):
+    same = [(1, "a b", "x"), (1, "a  b", "x"), (1, "ab", "x"), (2, "a  b", "x"), (None, "c", "x"), (None, "c", "x"), (3, "d", "y")]
+    rows = spark.createDataFrame(same, "doc_id BIGINT, text STRING, source STRING")
+    assert records(exact.drop_exact(rows)) == records(
+        spark.createDataFrame([(1, "a  b", "x"), (None, "c", "x"), (3, "d", "y")], rows.schema)
+    )
+
+
+def test_mixing_ties(spark):
+    """Equal sizes everywhere: finish times tie across sources, and the budget ends among ties."""
+    rows = spark.createDataFrame([(i, "w " * 10, "abc"[i % 3], "x") for i in range(300)], "doc_id INT, text STRING, source STRING, row STRING")
+    first, again = (records(mixing.mix_plan(r)) for r in (rows, rows.repartition(7)))
+    assert first == again
+    plan = mixing.mix_plan(rows).collect()
+    assert 0 <= 3000 - sum(r["taken"] for r in plan) < 10
+    mixed = [r["doc_id"] for r in mixing.mix(rows).collect()]
+    assert len(mixed) == sum(r["copies"] for r in plan) == 300

@@ -68,3 +68,28 @@ def test_stages_equal_plain_python(spark):
 
 def test_run_gives_the_last_stage(spark):
     assert corpus_pipeline.run(spark, SF).columns[0] == "doc_id"
+
+
+def test_stages_delete_earlier_steps(spark):
+    """Every stage deletes the steps of the one before; ``clean`` those that are left."""
+    from pathlib import Path
+
+    from turnmill.session import shared_dir
+
+    def folders():
+        return set((Path(shared_dir(spark).removeprefix("file://")) / "turnmill").glob("*"))
+
+    corpus_pipeline.clean(spark)
+    before = folders()
+    assert corpus_pipeline.run(spark, SF).count()
+    assert len(folders() - before) == 3  # the mixed documents, the pieces, the first numbers of sequences
+    corpus_pipeline.clean(spark)
+    assert folders() == before
+
+
+def test_steps_that_documents_read_stay(spark):
+    """A stage whose documents were not written yet can still compute them."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    lazy = corpus_pipeline.drop_exact_copies(spark, docs, SF)
+    n = lazy.count()
+    assert corpus_pipeline.drop_near_copies(spark, lazy, SF).count() <= n == lazy.count()

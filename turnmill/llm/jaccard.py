@@ -348,7 +348,7 @@ def drop_similar(
     or go together: they go if none of them is the first of its component.
     """
     groups = similar_groups(docs, key, text, words, percent).filter("doc_id IS NOT NULL")
-    gone = groups.groupBy(F.col("doc_id").alias("gone")).agg(
-        F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays")
-    )
-    return docs.join(gone.filter("NOT stays").select("gone"), F.col(key) == F.col("gone"), "left_anti")
+    gone = groups.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"))
+    gone = save_step(gone.filter("NOT stays").select(F.col("doc_id").alias("gone")), "similar_rows")
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).alias("key_of_row"))
+    return rows.join(gone, F.col("key_of_row") == F.col("gone"), "left_anti").select("row.*")

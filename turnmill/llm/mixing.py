@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnmill.llm.common import WORD, text_of
+from turnmill.llm.common import WORD, numbered, text_of
 from turnmill.session import save_step
 
 REPEATS = 3
@@ -60,29 +60,31 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int =
     )
 
 
-def mix_plan(
-    docs: DataFrame,
-    key: str = "doc_id",
-    source: str = "source",
-    size: Column | None = None,
-    weights: tuple[int, ...] = WEIGHTS,
-    repeats: int = REPEATS,
-    seed: int = SEED,
-) -> DataFrame:
-    """Every row of ``docs`` as a struct ``row`` with its part in the mix.
-
-    Columns: row, doc_id, size, source_size, target, copies, taken, first_time
-    (virtual finish time of its first copy) and lap (time between copies). A null
-    text has size 0 and is never taken, like any row of size 0. Rows that repeat
-    are rows of their own. The result depends on keys, sources and sizes only.
-    """
-    spark = docs.sparkSession
+def _rows(docs: DataFrame, key: str, source: str, size: Column | None, seed: int, keep: list[Column]) -> DataFrame:
+    """rid, doc_id, source, size and turn of every row, with ``keep``, written once."""
     size = word_count() if size is None else size
-    rows = docs.select(
-        F.struct("*").alias("row"), F.col(key).alias("doc_id"), F.col(source).alias("source"), size.alias("size")
-    )
     label = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("-")))
-    rows = save_step(rows.withColumn("turn", F.md5(label)), "mix_rows")
+    named = docs.select(*keep, F.col(key).alias("doc_id"), F.col(source).alias("source"), size.alias("size"))
+    return numbered(named.withColumn("turn", F.md5(label)), "mix_rows")
+
+
+def _cut(copies: DataFrame, budget: int) -> tuple[DataFrame, int, int]:
+    """The slice of copies in which the budget ends, its number, and what is left for it.
+
+    At most 8,193 sums reach the driver, whatever the data.
+    """
+    used, cut = 0, 2 * SLICES + 1
+    for number, n in sorted(tuple(r) for r in copies.groupBy("slice").agg(F.sum("size")).collect()):
+        if used + n > budget:
+            cut = number
+            break
+        used += n
+    return copies.filter(F.col("slice") == cut), cut, budget - used
+
+
+def _plan(rows: DataFrame, weights: tuple[int, ...], repeats: int) -> DataFrame:
+    """The plan of written rows of rid, doc_id, source, size and turn."""
+    rows = rows.select("rid", "doc_id", "source", "size", "turn")
     sources = save_step(targets(rows.select("source", "size"), weights, repeats), "mix_sources")
     budget = rows.agg(F.sum("size")).first()[0] or 0
 
@@ -102,49 +104,40 @@ def mix_plan(
         .join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
         .drop("s", "b")
         .withColumn("ends", F.col("ends") + F.col("done"))
-        .join(
-            sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))
-        )
-        .drop("s", "done", "bucket")
-    )
-    narrow = save_step(
-        timed.drop("row").select("place", "turn", "doc_id", "size", "ends", "source_size", "target"), "mix_times"
+        .join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
+        .select("rid", "place", "turn", "doc_id", "size", "ends", "source_size", "target")
     )
+    timed = save_step(timed, "mix_times")
+    target = F.nullif(F.col("target"), F.lit(0.0))
+    slot = F.least(F.floor(F.col("time") * SLICES), F.lit(2 * SLICES))
     copies = (
-        narrow.filter("size > 0")
+        timed.filter("size > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-        .withColumn("time", (F.col("ends") + F.col("copy") * F.col("source_size")) / F.nullif(F.col("target"), F.lit(0.0)))
-        .withColumn("slice", F.least(F.floor(F.col("time") * SLICES), F.lit(2 * SLICES)))
+        .withColumn("time", (F.col("ends") + F.col("copy") * F.col("source_size")) / target)
+        .withColumn("slice", slot)
     )
-    # At most 8,193 sums, whatever the data.
-    running = sorted(tuple(r) for r in copies.groupBy("slice").agg(F.sum("size")).collect())
-    used, cut = 0, 2 * SLICES + 1
-    for number, n in running:
-        if used + n > budget:
-            cut = number
-            break
-        used += n
-    # The slice in which the budget ends is the only one to be sorted.
+    open_slice, cut, left = _cut(copies, budget)
+    # The slice in which the budget ends is cut again; only one part of it is sorted.
+    finer = F.least(F.floor((F.col("time") * SLICES - cut) * SLICES), F.lit(2 * SLICES))
+    open_slice = save_step(open_slice.withColumn("slice", finer), "mix_open")
+    part, fine_cut, left = _cut(open_slice, left)
     last = Window.orderBy("time", "place", "copy", "turn").rowsBetween(Window.unboundedPreceding, 0)
-    extra = (
-        copies.filter(F.col("slice") == cut)
-        .withColumn("sum", F.sum("size").over(last))
-        .filter(F.col("sum") <= budget - used)
-        .groupBy(F.col("place").alias("p"), F.col("ends").alias("e"))
-        .agg(F.count("*").alias("extra"))
+    taken = (
+        part.withColumn("sum", F.sum("size").over(last))
+        .filter(F.col("sum") <= left)
+        .drop("sum")
+        .unionAll(open_slice.filter(F.col("slice") < fine_cut))
     )
-    extra = save_step(extra, "mix_last")
-    times = [(F.col("ends") + F.lit(i) * F.col("source_size")) / F.nullif(F.col("target"), F.lit(0.0)) for i in range(repeats)]
+    extra = taken.groupBy(F.col("rid").alias("r")).agg(F.count("*").alias("extra"))
+    times = [(F.col("ends") + F.lit(i) * F.col("source_size")) / target for i in range(repeats)]
     sure = sum(
         (F.when(F.least(F.floor(t * SLICES), F.lit(2 * SLICES)) < cut, 1).otherwise(0) for t in times), F.lit(0)
     )
     return (
-        timed.join(
-            extra, (F.col("place") == F.col("p")) & (F.col("ends") == F.col("e")) & (F.col("size") > 0), "left"
-        )
+        timed.join(extra, F.col("rid") == F.col("r"), "left")
         .withColumn("copies", F.when(F.col("size") > 0, sure + F.coalesce("extra", F.lit(0))).otherwise(0))
         .select(
-            "row",
+            "rid",
             "doc_id",
             "size",
             "source_size",
@@ -152,14 +145,48 @@ def mix_plan(
             F.col("copies").cast("int").alias("copies"),
             (F.col("copies") * F.col("size")).cast("bigint").alias("taken"),
             F.when(F.col("size") > 0, times[0]).alias("first_time"),
-            F.when(F.col("size") > 0, F.col("source_size") / F.nullif(F.col("target"), F.lit(0.0))).alias("lap"),
+            F.when(F.col("size") > 0, F.col("source_size") / target).alias("lap"),
         )
     )
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: whole rows of ``docs``, repeated as taken, sorted by finish time."""
-    plan = mix_plan(docs, **options).filter("copies > 0")
-    rows = plan.withColumn("copy", F.explode(F.expr("sequence(0, copies - 1)")))
+def mix_plan(
+    docs: DataFrame,
+    key: str = "doc_id",
+    source: str = "source",
+    size: Column | None = None,
+    weights: tuple[int, ...] = WEIGHTS,
+    repeats: int = REPEATS,
+    seed: int = SEED,
+) -> DataFrame:
+    """The part of every row of ``docs`` in the mix.
+
+    Columns: doc_id, size, source_size, target, copies, taken, first_time (virtual finish
+    time of its first copy) and lap (time between copies). A null text has size 0 and is
+    never taken, like any row of size 0. Rows that repeat are rows of their own. The
+    result depends on keys, sources and sizes only; rows with the same key, source and
+    size are alike, and either may be the one that is taken.
+    """
+    return _plan(_rows(docs, key, source, size, seed, []), weights, repeats).drop("rid")
+
+
+def mix(
+    docs: DataFrame,
+    key: str = "doc_id",
+    source: str = "source",
+    size: Column | None = None,
+    weights: tuple[int, ...] = WEIGHTS,
+    repeats: int = REPEATS,
+    seed: int = SEED,
+) -> DataFrame:
+    """The mix itself: whole rows of ``docs``, repeated as taken, sorted by finish time.
+
+    The plan is made on numbers alone. Whole rows move twice: to their number of
+    copies, and to their place.
+    """
+    rows = _rows(docs, key, source, size, seed, [F.struct("*").alias("row")])
+    plan = _plan(rows, weights, repeats).filter("copies > 0").select("rid", "copies", "first_time", "lap")
+    whole = rows.select("rid", "row").join(save_step(plan, "mix_plan"), "rid")
+    copied = whole.withColumn("copy", F.explode(F.expr("sequence(0, copies - 1)")))
     time = (F.col("first_time") + F.col("copy") * F.col("lap")).alias("time")
-    return rows.select("row", time).orderBy("time").select("row.*")
+    return copied.select("row", time).orderBy("time").select("row.*")
