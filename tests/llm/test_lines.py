@@ -73,3 +73,17 @@ def plain_three(rows):
                 out |= {i for i, _ in part}
             seen.add(key)
     return gone
+
+
+def test_long_texts_are_linear(spark):
+    """Two equal texts of 80,000 lines, and one with a repeat inside."""
+    import time
+
+    lines = [f"line {i} of a long text" for i in range(80_000)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(lines)), (3, "\n".join([*lines[:5], "new"] * 2))]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    start = time.perf_counter()
+    found = {r["doc_id"]: (r["removed_lines"], r["text"]) for r in line_dedup.drop_repeated_lines(docs).collect()}
+    assert time.perf_counter() - start < 20
+    assert found[1] == (0, rows[0][1]) and found[2] == (80_000, "")
+    assert found[3] == (11, "new")

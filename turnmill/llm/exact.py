@@ -210,24 +210,25 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 def drop_exact(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, whole; of indistinguishable rows one stays.
 
-    Whole rows are shuffled once, to those that go. Only rows that share key, length
-    and normalised text with another one that stays are grouped, to keep one of them.
+    What goes is listed by key alone, so whole rows meet a narrow list. Only the rows of
+    keys that several rows share are told apart by text, and grouped to keep one of them.
     """
     marked = save_step(exact_groups(docs, key, text).select("doc_id", "text_sha256", "kept"), "exact_marks")
-    by_row = marked.groupBy("doc_id", "text_sha256").agg(F.count_if("kept").alias("kept"), F.count("*").alias("n"))
-    mixed = save_step(by_row.filter("kept <> 1 OR n > 1"), "exact_decisions")
+    by_key = marked.groupBy(F.col("doc_id").alias("k2")).agg(F.count_if("kept").alias("kept"), F.count("*").alias("n"))
+    listed = save_step(by_key.filter("n > 1 OR kept = 0"), "exact_decisions")
     rows = docs.select(
         F.struct("*").alias("row"),
         F.col(key).alias("k"),
         F.length(text_of(text)).alias("chars"),
         F.sha2(F.translate(text_of(text), SPACE, ""), 256).alias("h"),
     )
-    decided = mixed.select(F.col("doc_id").alias("k2"), F.col("text_sha256").alias("h2"), "kept")
-    same = F.col("k").eqNullSafe(F.col("k2")) & (F.col("h") == F.col("h2"))
-    alone = rows.join(decided, same, "left_anti").select("row.*")
-    several = decided.filter("kept > 0")
+    same_key = F.col("k").eqNullSafe(F.col("k2"))
+    alone = rows.join(listed.select("k2"), same_key, "left_anti").select("row.*")
+    several = listed.filter("n > 1 AND kept > 0").select("k2")
     if several.isEmpty():
         return alone
+    kept = marked.filter("kept").select(F.col("doc_id").alias("k2"), F.col("text_sha256").alias("h2")).distinct()
     # Of rows that share key and text, the longest as it was written.
-    one = rows.join(several, same).groupBy("k", "h").agg(F.max_by("row", "chars").alias("row"))
+    some = rows.join(several, same_key, "left_semi").join(kept, same_key & (F.col("h") == F.col("h2")), "left_semi")
+    one = some.groupBy("k", "h").agg(F.max_by("row", "chars").alias("row"))
     return alone.unionAll(one.select("row.*"))

@@ -110,6 +110,47 @@ def _lines(run: int, words: int | None):
     return fingerprints
 
 
+def _around(run: int):
+    """The runs of ``run`` lines that cover a hit: the match of one fingerprint, extended
+    line by line both ways. Linear in a row's lines."""
+
+    def table(parts: list[tuple]) -> pa.RecordBatch:
+        rids, docs, starts, keys, covered = (np.concatenate(x) for x in zip(*parts))
+        ends = np.arange(0, len(covered) + 1, run, dtype=np.int32)
+        columns = [
+            pa.array(rids),
+            pa.array(docs[:, 0], mask=docs[:, 1] > 0),
+            pa.array(starts, pa.int32()),
+            pa.array(keys),
+            pa.ListArray.from_arrays(ends, pa.array(covered, pa.int32())),
+            pa.array(np.ones(len(rids), bool)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, schema=RUNS)
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts, size = [], 0
+            lists = [batch.column(i) for i in (2, 3, 4)]
+            for i, (rid, doc) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                places, hashes, hits = (x[i].values.to_numpy().astype(np.int64) for x in lists)
+                change = np.zeros(len(hashes) + 1, np.int64)
+                np.add.at(change, np.maximum(hits - run + 1, 0), 1)
+                np.add.at(change, hits + 1, -1)
+                starts = np.flatnonzero(np.cumsum(change[: max(0, len(hashes) - run + 1)]))
+                own = np.full((len(starts), 2), (doc or 0, doc is None), np.int64)
+                covered = places[starts[:, None] + np.arange(run)].ravel()
+                keys = run_keys(hashes, run)[starts].view(np.int64)
+                parts.append((np.full(len(starts), rid, np.int64), own, starts, keys, covered))
+                size += len(starts)
+                if size >= 100_000:
+                    yield table(parts)
+                    parts, size = [], 0
+            if parts:
+                yield table(parts)
+
+    return extend
+
+
 def _sieve(lines: DataFrame) -> np.ndarray:
     """A bit per slot that the key of a whole document of few lines falls into."""
     slot = F.col("whole").bitwiseAND(SLOTS - 1)
@@ -170,28 +211,8 @@ def repeated_lines(docs: DataFrame, run: int = RUN, words: int | None = WORDS) -
     again = marks.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark")
     # At most as many places as a row has lines.
     hits = marks.join(again, "mark").groupBy("rid").agg(F.collect_set("at").alias("hits"))
-    around = lines.join(hits, "rid").withColumn(
-        "starts",
-        F.array_distinct(
-            F.flatten(
-                F.transform(
-                    "hits",
-                    lambda h: F.sequence(
-                        F.greatest(h - (run - 1), F.lit(0)), F.least(h, F.size("hashes") - F.lit(run))
-                    ),
-                )
-            )
-        ),
-    )
-    starts = around.select("rid", "doc_id", "hashes", "places", F.explode("starts").alias("start"))
-    runs = starts.select(
-        "rid",
-        "doc_id",
-        "start",
-        F.xxhash64(F.slice("hashes", F.col("start") + 1, F.lit(run))).alias("run"),
-        F.slice("places", F.col("start") + 1, F.lit(run)).alias("covered"),
-        F.lit(True).alias("may"),
-    )
+    around = lines.join(hits, "rid").select("rid", "doc_id", "places", "hashes", "hits")
+    runs = around.mapInArrow(_around(run), RUNS_DDL)
     if words is not None:
         runs = runs.unionByName(_short(lines, run))
     runs = save_step(runs, "line_runs")
@@ -215,7 +236,11 @@ def drop_repeated_lines(
     gone = repeated_lines(rows, run, words).withColumnRenamed("rid", "r")
     lines = F.split("text", "\n", -1)
     none = F.array().cast("array<int>")
-    kept = F.filter(F.col("lines"), lambda _, i: ~F.array_contains(F.col("gone"), i))
+    # A set difference of numbers, then the lines they stand for: linear in the lines.
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    kept = F.when(F.size("gone") == 0, F.col("lines")).otherwise(
+        F.transform(left, lambda i: F.get("lines", i))
+    )
     return (
         rows.join(gone, F.col("rid") == F.col("r"), "left")
         .select("doc_id", lines.alias("lines"), F.coalesce("gone", none).alias("gone"))

@@ -35,11 +35,8 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the runs of three lines that occur in an earlier place.
-
-    Its SQL knows no shorter runs, so those that the operator finds by default are left out.
-    """
-    rows = line_dedup.drop_repeated_lines(read(spark, sf_dir, "documents"), words=None)
+    """Every document without its repeated runs of lines: of three lines, of 50 words, or whole."""
+    rows = line_dedup.drop_repeated_lines(read(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "removed_lines", F.sha2("text", 256).alias("text_sha256"))
 
 
@@ -167,11 +164,21 @@ ORACLE: dict[str, str] = {
           unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
       solid AS (SELECT doc_id, i, trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) AS line
         FROM lines WHERE trim(line, chr(32) || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
-      runs AS (SELECT doc_id, i, line || chr(10) || lead(line) OVER w || chr(10) || lead(line, 2) OVER w AS run,
-          [i, lead(i) OVER w, lead(i, 2) OVER w] AS covered
-        FROM solid WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-      later AS (SELECT * FROM runs WHERE run IS NOT NULL
-        QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, i) > 1),
+      counted AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+          count(*) OVER (PARTITION BY doc_id) AS lines FROM solid),
+      next AS (SELECT *, lead(line) OVER w AS line2, lead(line, 2) OVER w AS line3, lead(n) OVER w AS n2,
+          lead(i) OVER w AS i2, lead(i, 2) OVER w AS i3
+        FROM counted WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+      runs AS (
+        SELECT doc_id, i, 1 AS size, line AS run, [i] AS covered, n >= 50 OR lines = 1 AS counts FROM next
+        UNION ALL
+        SELECT doc_id, i, 2, line || chr(10) || line2, [i, i2], n + n2 >= 50 OR lines = 2
+        FROM next WHERE line2 IS NOT NULL
+        UNION ALL
+        SELECT doc_id, i, 3, line || chr(10) || line2 || chr(10) || line3, [i, i2, i3], true
+        FROM next WHERE line3 IS NOT NULL),
+      placed AS (SELECT *, row_number() OVER (PARTITION BY size, run ORDER BY doc_id, i) AS place FROM runs),
+      later AS (SELECT * FROM placed WHERE place > 1 AND counts),
       gone AS (SELECT DISTINCT doc_id, unnest(covered) AS i FROM later)
       SELECT l.doc_id, count(*) AS n_lines, count(g.i) AS removed_lines,
         sha256(coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL), '')) AS text_sha256
