@@ -11,6 +11,7 @@ from turnmill.functions import samples as S
 from turnmill.functions import text as T
 from turnmill.functions.responses import closes, valid_response
 from turnmill.operators import formats, positions, quality, report, split, turns
+from turnmill.operators.candidates import candidate_pairs
 from turnmill.operators.near_dup import drop_near_duplicates
 from turnmill.plans import adapters as A
 from turnmill.plans.build import build_records
@@ -283,6 +284,11 @@ def dedup_near(spark, sf):
     return drop_near_duplicates(docs, key="doc_id").select("doc_id")
 
 
+def dedup_candidates(spark, sf):
+    """Pairs of distinct documents that their lengths and characters do not keep apart."""
+    return candidate_pairs(_docs(spark, sf).select("doc_id", "text"), key="doc_id")
+
+
 def dedup_near_equal(spark, sf):
     """The whole operator at threshold 1: of texts equal but for case and ends, the first."""
     docs = _docs(spark, sf).select("doc_id", "text")
@@ -455,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "content_hash": content_hash,
     "dedup_exact": dedup_exact,
     "dedup_near": dedup_near,
+    "dedup_candidates": dedup_candidates,
     "dedup_near_equal": dedup_near_equal,
     "sft_records": sft_records,
     "to_alpaca": to_alpaca,
