@@ -250,27 +250,6 @@ def test_parse_equals_longest_matches():
             assert bits[i, j] == pytest.approx(phrases * model.bits[i])
 
 
-def test_passages_equal_plain_python(spark, texts):
-    rows = [(d, t) for d, t in sorted(texts.items())]
-    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").coalesce(1)
-    seen, want = {}, set()
-    for doc, text in rows:
-        data, at, run = np.frombuffer(text.encode(), np.uint8), 0, None
-        for end in [*substring_dedup.cuts(data).tolist(), None]:
-            chunk = data[at:end].tobytes() if end is not None else None
-            if chunk is not None and chunk in seen:
-                run = [at, end, seen[chunk]] if run is None else [run[0], end, run[2]]
-            else:
-                if run and run[1] - run[0] >= substring_dedup.MIN_BYTES:
-                    want.add((doc, run[0], run[1] - run[0], run[2]))
-                run = None
-                if chunk is not None:
-                    seen[chunk] = doc
-            at = end
-    got = substring_dedup.repeated_passages(docs).collect()
-    assert {tuple(r) for r in got} == want and want
-
-
 def test_insertions_do_not_shift_chunks():
     rng = random.Random(4)
     data = " ".join(words(rng, 400)).encode()

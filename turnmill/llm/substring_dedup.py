@@ -2,8 +2,9 @@
 
 A gear rolling hash over a text's bytes decides where chunks end, so equal
 passages are cut alike wherever they stand, but for the chunks at their ends.
-Chunks are compared by digest. Runs of chunks that occurred earlier are removed
-if they are long enough.
+Every chunk knows the first place of its digest. Chunks of a row that stand at one
+distance from their first places in one other row are a match; it is extended byte by
+byte both ways, and only bytes that were compared are removed, if they are enough.
 """
 
 from __future__ import annotations
@@ -12,17 +13,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnmill.llm.common import numbered, text_of
 from turnmill.llm.shingles import mix64
 from turnmill.session import save_step
 
-CUT_BITS = 4  # a raw cut every 16 bytes
+CUT_BITS = 5  # a raw cut every 32 bytes
 LEAST_GAP = 12
 MOST = 2048
 MIN_BYTES = 128  # about 20 words
+SEED = 64  # bytes of whole chunks from which a match is looked at
+REACH = 192  # bytes beyond its chunks that a match is extended at most
 
 U = np.uint64
 _rng = np.random.default_rng(977)
@@ -31,9 +34,9 @@ _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64)
 _STEP = U(0x9E3779B97F4A7C15)
 _powers = np.ones(1, np.uint64)
 
-CHUNKS = pa.schema([("rid", pa.int64()), ("chunk", pa.int64()), ("digest", pa.int64())])
-CHUNKS_DDL = "rid BIGINT, chunk BIGINT, digest BIGINT"
-SIZE_BITS = 12  # a chunk's number is its start, whether the row had it before, and its size
+CHUNKS = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("chunk", pa.int64()), ("digest", pa.int64())])
+CHUNKS_DDL = "rid BIGINT, doc_id BIGINT, chunk BIGINT, digest BIGINT"
+SIZE_BITS = 12  # a chunk's number is its start and its size
 ROWS_OUT = 200_000
 
 
@@ -88,90 +91,157 @@ def digests(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return mix64(sums + sizes.astype(np.uint64) * U(0xA24BAED4963EE407)).view(np.int64)
 
 
-def _again(found: np.ndarray) -> np.ndarray:
-    """Which values occurred before in the array."""
-    order = np.argsort(found, kind="stable")
-    again = np.zeros(len(found), bool)
-    again[order[1:]] = found[order[1:]] == found[order[:-1]]
-    return again
-
-
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def table(parts: list[list]) -> pa.RecordBatch:
+        rids, keys, chunks, found = parts
+        sizes = [len(x) for x in chunks]
+        names = pa.array(np.repeat(np.arange(len(keys)), sizes))
+        columns = [pa.array(np.repeat(np.array(rids, np.int64), sizes)), pa.array(keys, pa.int64()).take(names)]
+        return pa.RecordBatch.from_arrays(
+            [*columns, pa.array(np.concatenate(chunks)), pa.array(np.concatenate(found))], schema=CHUNKS
+        )
+
     for batch in batches:
-        parts: list[list] = [[], [], []]
+        parts: list[list] = [[], [], [], []]
         held = 0
-        for rid, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for rid, doc, value in zip(*(c.to_pylist() for c in batch.columns)):
             if not value:
                 continue
             data = np.frombuffer(value, np.uint8)
             ends = cuts(data)
             starts = np.concatenate([[0], ends[:-1]])
-            found = digests(data, ends)
-            parts[0].append(np.full(len(ends), rid, np.int64))
-            parts[1].append(((starts << 1 | _again(found)) << SIZE_BITS) | (ends - starts))
-            parts[2].append(found)
+            for part, x in zip(parts, (rid, doc, starts << SIZE_BITS | ends - starts, digests(data, ends))):
+                part.append(x)
             held += len(ends)
             if held >= ROWS_OUT:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in parts], schema=CHUNKS)
-                parts, held = [[], [], []], 0
+                yield table(parts)
+                parts, held = [[], [], [], []], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in parts], schema=CHUNKS)
+            yield table(parts)
+
+
+def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes around every match that are equal on both sides: rid, source, shift, start, end."""
+    names = ["rid", "source", "shift", "start", "end"]
+    for batch in batches:
+        rids, sources, shifts, starts, sizes = (batch.column(i).to_numpy() for i in range(5))
+        out: list[tuple] = []
+        for i, (x, y) in enumerate(zip(batch.column(5), batch.column(6))):
+            a, b = np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)
+            start, size, shift = int(starts[i]), int(sizes[i]), int(shifts[i])
+            # Where the match begins in either slice; the earlier text may begin sooner.
+            at, there = min(start, REACH), min(start - shift, REACH)
+            if (a[at : at + size] != b[there : there + size]).any():
+                continue  # equal digests, other bytes
+            left = min(at, there)
+            differ = np.flatnonzero(a[at - left : at] != b[there - left : there])
+            begin = at - left + (int(differ[-1]) + 1 if len(differ) else 0)
+            right = min(len(a) - at, len(b) - there) - size
+            differ = np.flatnonzero(a[at + size : at + size + right] != b[there + size : there + size + right])
+            end = at + size + (int(differ[0]) if len(differ) else right)
+            while begin < end and a[begin] & 0xC0 == 0x80:
+                begin += 1
+            while end < len(a) and begin < end and a[end] & 0xC0 == 0x80:
+                end -= 1
+            # A slice that ends within a character has no byte after it to tell.
+            while end == len(a) and begin < end and not _whole(a[begin:end]):
+                end -= 1
+            out.append((int(rids[i]), int(sources[i]), shift, start - at + begin, start - at + end))
+        columns = zip(*out) if out else [[]] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+
+def _whole(data: np.ndarray) -> bool:
+    """Whether the last character of some UTF-8 bytes is whole."""
+    for back in range(1, min(4, len(data)) + 1):
+        byte = int(data[-back])
+        if byte & 0xC0 != 0x80:
+            return back == (1 if byte < 0x80 else 2 if byte < 0xE0 else 3 if byte < 0xF0 else 4)
+    return False
 
 
 def repeated_spans(rows: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """Spans of ``rows`` (rid, text) to remove: rid, start and n_bytes in UTF-8, and
-    first_rid, the first row that has the span's first chunk.
+    """Spans of ``rows`` (rid, doc_id, text) to remove: rid, start and n_bytes in UTF-8, and
+    source, the row that has the same bytes earlier.
 
-    A chunk is repeated if one with its digest occurs in a row with a smaller rid,
-    or before it in its row. Neighbouring repeated chunks of at least ``min_bytes``
-    together are a span. Null and empty texts have no chunks.
+    Earlier is a smaller doc_id (null first), of equal ones a smaller rid, in one row a
+    smaller place. Of a digest the first place is the source of all others. Chunks of a
+    row that are as far from their sources in one other row are a match from ``SEED``
+    bytes on; it reaches over neighbouring bytes as long as they are equal, and is a span
+    from ``min_bytes`` on. So a passage is found if it has that many whole chunks whose
+    first places are in one earlier row. Spans of a row do not overlap: of two that do,
+    the later one begins where the other ends.
     """
-    chunks = rows.select("rid", text_of().cast("binary").alias("text")).mapInArrow(_chunks, CHUNKS_DDL)
-    first = (
-        chunks.groupBy("digest")
-        .agg(F.min("rid").alias("first_rid"), F.count("*").alias("n"))
-        .filter("n > 1")
-        .select("digest", "first_rid")
+    texts = rows.select("rid", "doc_id", text_of().cast("binary").alias("text"))
+    # Shuffled once: the first places and the join with them read the same files.
+    chunks = texts.mapInArrow(_chunks, CHUNKS_DDL).repartition("digest")
+    place = F.struct(F.col("doc_id").isNotNull().alias("has"), "doc_id", "rid", "chunk")
+    first = chunks.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    start = F.shiftright("chunk", SIZE_BITS)
+    later = chunks.join(first.select("digest", "first"), "digest").filter(
+        (F.col("rid") != F.col("first.rid")) | (F.col("chunk") != F.col("first.chunk"))
     )
-    known = F.shiftright("chunk", SIZE_BITS).bitwiseAND(F.lit(1)) == 1
-    later = save_step(
-        chunks.join(first, "digest")
-        .filter((F.col("rid") != F.col("first_rid")) | known)
-        .select(
-            "rid",
-            F.shiftright("chunk", SIZE_BITS + 1).alias("start"),
-            F.col("chunk").bitwiseAND(F.lit((1 << SIZE_BITS) - 1)).alias("size"),
-            "first_rid",
-        ),
-        "repeated_chunks",
+    later = later.select(
+        "rid",
+        F.col("first.rid").alias("source"),
+        (start - F.shiftright("first.chunk", SIZE_BITS)).alias("shift"),
+        start.alias("start"),
+        F.col("chunk").bitwiseAND(F.lit((1 << SIZE_BITS) - 1)).alias("size"),
     )
-    # These windows hold the repeated chunks of one row.
-    order = Window.partitionBy("rid").orderBy("start")
+    later = save_step(later, "repeated_chunks")
+    # Windows of one row and one source, at most the row's chunks.
+    line = ["rid", "source", "shift"]
+    order = Window.partitionBy(*line).orderBy("start")
     new = F.coalesce(F.lag(F.col("start") + F.col("size")).over(order) != F.col("start"), F.lit(True))
-    runs = later.withColumn("new", new.cast("int")).withColumn("run", F.sum("new").over(order))
-    return (
-        runs.groupBy("rid", "run")
-        .agg(
-            F.min("start").alias("start"),
-            F.sum("size").alias("n_bytes"),
-            F.min(F.when(F.col("new") == 1, F.col("first_rid"))).alias("first_rid"),
-        )
-        .filter(F.col("n_bytes") >= min_bytes)
+    matches = (
+        later.withColumn("new", new.cast("int"))
+        .withColumn("run", F.sum("new").over(order))
+        .groupBy(*line, "run")
+        .agg(F.min("start").alias("start"), F.sum("size").alias("size"))
+        .filter(F.col("size") >= SEED)
         .drop("run")
     )
+    matches = save_step(matches, "matches")
+    around = F.col("size") + REACH
+    own = texts.select("rid", F.col("text").alias("t"))
+
+    def cut(of: Column) -> Column:
+        return F.substring("t", F.greatest(of - REACH, F.lit(0)).cast("int") + 1, (F.least(of, F.lit(REACH)) + around).cast("int"))
+
+    x = matches.join(own, "rid").select(*line, "start", "size", cut(F.col("start")).alias("x"))
+    y = x.join(own.withColumnRenamed("rid", "source"), "source").select(
+        *line, "start", "size", "x", cut(F.col("start") - F.col("shift")).alias("y")
+    )
+    known = y.mapInArrow(_extend, "rid BIGINT, source BIGINT, shift BIGINT, start BIGINT, `end` BIGINT")
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    joined = (
+        known.withColumn("new", F.coalesce(F.col("start") > reached, F.lit(True)).cast("int"))
+        .withColumn("run", F.sum("new").over(order))
+        .groupBy(*line, "run")
+        .agg(F.min("start").alias("start"), F.max("end").alias("end"))
+        .filter(F.col("end") - F.col("start") >= min_bytes)
+    )
+    by_row = Window.partitionBy("rid").orderBy("start", "end", "source", "shift")
+    taken = F.coalesce(F.max("end").over(by_row.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return (
+        joined.withColumn("begin", F.greatest("start", taken))
+        .filter("begin < `end`")
+        .select("rid", F.col("begin").alias("start"), (F.col("end") - F.col("begin")).alias("n_bytes"), "source")
+    )
 
 
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_bytes: int = MIN_BYTES) -> DataFrame:
     """One row per span to remove: doc_id, start, n_bytes (UTF-8), first_doc_id.
 
-    Earlier means earlier in the order of the input's files and rows. Rows that
-    repeat are rows of their own: the second is a span from end to end.
+    The bytes of a span stand in the document ``first_doc_id`` as well, which is earlier
+    by key, or before it in the same one. Rows that repeat are rows of their own: the
+    second is a span from end to end.
     """
     rows = numbered(docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")), "passages")
     found = repeated_spans(rows, min_bytes)
     names = rows.select("rid", "doc_id")
-    firsts = names.select(F.col("rid").alias("first_rid"), F.col("doc_id").alias("first_doc_id"))
-    return found.join(names, "rid").join(firsts, "first_rid").select("doc_id", "start", "n_bytes", "first_doc_id")
+    firsts = names.select(F.col("rid").alias("source"), F.col("doc_id").alias("first_doc_id"))
+    return found.join(names, "rid").join(firsts, "source").select("doc_id", "start", "n_bytes", "first_doc_id")
 
 
 def drop_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", min_bytes: int = MIN_BYTES) -> DataFrame:
