@@ -19,7 +19,8 @@ def with_positions(frames: list[DataFrame], out: str = "pos") -> DataFrame:
 
     Rows of a file source carry ``_file`` and ``_block`` (dropped here): their
     order is that of the file names, of the blocks in a file and of the rows in a
-    block, however blocks were packed into tasks. Other frames keep scan order.
+    block, however blocks were packed into tasks. Rows with ``_file`` and ``_row``, their
+    place in the file, have their order already. Other frames keep scan order.
     One count per block gives it its offset; rows never move. The frames must give
     the same rows whenever they are computed.
     """
@@ -30,7 +31,11 @@ def with_positions(frames: list[DataFrame], out: str = "pos") -> DataFrame:
         if "_file" not in f.columns:
             f = f.withColumn("_id", F.monotonically_increasing_id())
             f = f.withColumn("_file", F.lit("")).withColumn("_block", part).drop("_id")
-        tagged.append(f.select(F.lit(i).alias("_f"), F.monotonically_increasing_id().alias("_id"), "*"))
+        if "_row" in f.columns:  # numbered by its reader
+            f = f.withColumn("_block", F.lit(0).cast("bigint"))
+            tagged.append(f.withColumnRenamed("_row", "_id").withColumn("_f", F.lit(i)))
+        else:
+            tagged.append(f.select(F.lit(i).alias("_f"), F.monotonically_increasing_id().alias("_id"), "*"))
     rows = reduce(DataFrame.unionByName, tagged)
     block = ["_f", "_file", "_block"]
     counts = rows.groupBy(*block).agg(F.min("_id").alias("first"), F.count("*").alias("n")).collect()
