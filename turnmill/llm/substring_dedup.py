@@ -178,9 +178,7 @@ def repeated_spans(rows: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     place = F.struct(F.col("doc_id").isNotNull().alias("has"), "doc_id", "rid", "chunk")
     first = chunks.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
     start = F.shiftright("chunk", SIZE_BITS)
-    later = chunks.join(first.select("digest", "first"), "digest").filter(
-        (F.col("rid") != F.col("first.rid")) | (F.col("chunk") != F.col("first.chunk"))
-    )
+    later = chunks.join(first.select("digest", "first"), "digest").filter(~place.eqNullSafe(F.col("first")))
     later = later.select(
         "rid",
         F.col("first.rid").alias("source"),
