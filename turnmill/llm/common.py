@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,3 +60,8 @@ def slices(data: bytes | str, size: int = SLICE) -> Iterator[tuple[int, int]]:
         end = len(data) if end < 0 else end
         yield start, end
         start = end
+
+
+def each(column: pa.Array) -> Iterator:
+    """The values of a column one by one: a batch of texts is not held twice."""
+    return (value.as_py() for value in column)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnmill.llm.common import text_of
+from turnmill.llm.common import each, text_of
 from turnmill.llm.components import components
 from turnmill.llm.shingles import Shingler, mix64
 from turnmill.session import save_step
@@ -34,6 +34,7 @@ BAND = 1.35  # sizes of a band: from its start to so many times it
 SKETCH_BITS = 2048
 QUICK_WORDS = 8  # the same sketch folded to 512 positions
 FILTER_BITS = 1 << 23  # a fixed megabyte
+HELD = 200_000  # numbers that are handed over together
 
 U = np.uint64
 
@@ -116,7 +117,7 @@ def _summaries(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(k)
         for batch in batches:
-            sets = shingler.sets(batch.column(1).to_pylist())
+            sets = shingler.sets(each(batch.column(1)))
             rows = [(len(own), set_id(own) if len(own) else None) for own in sets]
             if rows:
                 n, ids = zip(*rows)
@@ -135,7 +136,7 @@ def _entries(k: int, percent: int):
         shingler = Shingler(k)
         for batch in batches:
             seen, keys, ids, size = set(), [], [], 0
-            for own in shingler.sets(batch.column(0).to_pylist()):
+            for own in shingler.sets(each(batch.column(0))):
                 if not len(own) or (name := set_id(own)) in seen:
                     continue  # a class enters once per batch
                 seen.add(name)
@@ -143,7 +144,7 @@ def _entries(k: int, percent: int):
                 keys.append(found)
                 ids.append(np.full(len(found), name))
                 size += len(found)
-                if size > 500_000:
+                if size > HELD:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in (keys, ids)], schema=schema)
                     keys, ids, size = [], [], 0
             if keys:
@@ -168,7 +169,7 @@ def _sets(k: int, wanted):
         shingler, words = Shingler(k), wanted.value
         for batch in batches:
             seen, rows, size = set(), [], 0
-            for own in shingler.sets(batch.column(0).to_pylist()):
+            for own in shingler.sets(each(batch.column(0))):
                 if not len(own):
                     continue
                 name = set_id(own)
@@ -180,7 +181,7 @@ def _sets(k: int, wanted):
                 quick = np.bitwise_xor.reduce(sketch.reshape(-1, QUICK_WORDS))
                 rows.append((name, len(own), sketch, quick, own.view(np.int64)))
                 size += len(own)
-                if size > 500_000:
+                if size > HELD:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema
                     )

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from turnmill.llm.common import text_of
+from turnmill.llm.common import each, text_of
 
 UNKNOWN = "und"
 SAMPLE_ROWS = 48  # labelled rows of each language that a model learns from
@@ -301,7 +301,7 @@ def predict(docs: DataFrame, model: Model, keep: list[Column], text: str = "text
         learned = shared.value
         for batch in batches:
             named, scores, group, size = [], [], [], 0
-            for value in batch.column(len(names)).to_pylist():
+            for value in each(batch.column(len(names))):
                 if group and size + len(value) > CHUNK:
                     for out, more in zip((named, scores), learned.predict(group)):
                         out += more

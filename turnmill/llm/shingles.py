@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 U = np.uint64
-CHUNK_BYTES = 2 << 20  # texts handled together; a longer text goes alone
+CHUNK_BYTES = 1 << 20  # texts handled together; a longer text goes alone
 
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64)
@@ -38,7 +38,7 @@ class Shingler:
             steps[0] = 1
             self.powers = np.multiply.accumulate(steps)
 
-    def sets(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+    def sets(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
         """The sorted distinct shingle hashes of every UTF-8 text."""
         group: list[bytes] = []
         size = 0

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from turnmill.llm.common import slices
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
-CACHED = 400_000  # words in each of two generations that a worker remembers
+CACHED = 120_000  # words in each of two generations that a worker remembers
 PART = 1 << 20  # characters of a text that are split together
 
 #: Characters whose normal form and lower case are themselves or one known letter, and white space.
