@@ -72,7 +72,7 @@ def suffix_automaton(text: list[int], width: int) -> tuple[np.ndarray, np.ndarra
                     p = link[p]
                 link[q] = link[state] = copy
         last = state
-    table = np.full((len(steps), width), -1, np.int64)
+    table = np.full((len(steps), width), -1, np.int32)
     rare = []
     for state, edges in enumerate(steps):
         for c, target in edges.items():
@@ -213,13 +213,18 @@ def train(sample: dict[str, list[str]]) -> Model:
         missing = own < 0
         # After a miss the symbol starts a phrase, or is one if no phrase starts with it.
         target = np.where(missing, start[None, :], own)
-        ended = np.where(missing, 1, 0) + np.where(missing & (own[0] < 0)[None, :], 1, 0)
-        ended[0] = np.where(own[0] < 0, 1, 0)  # nothing was open at the root
-        tables.append((((target + base) * width) << 2 | ended).ravel())
+        ended = missing.astype(np.int8) + (missing & (own[0] < 0)[None, :])
+        ended[0] = own[0] < 0  # nothing was open at the root
+        moved = target.astype(np.int64)
+        moved += base
+        moved *= width
+        moved <<= 2
+        moved |= ended
+        # 32-bit moves halve the memory of the driver, and what the parse runs through.
+        tables.append(moved.astype(np.int32 if (base + len(own)) * width << 2 < 2**31 else np.int64).ravel())
         roots.append(base * width)
         bits.append(log2(max(2, len(text))))
         base += len(own)
-    # 32-bit moves halve the memory that the parse runs through.
     moves = np.concatenate(tables) if tables else np.empty(0, np.int64)
     kind = np.int32 if base * width << 2 < 2**31 else np.int64
     keys, lookups = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (rare_keys, rare_moves))
@@ -228,7 +233,7 @@ def train(sample: dict[str, list[str]]) -> Model:
         list(texts),
         alphabet,
         codes,
-        moves.astype(kind),
+        moves.astype(kind, copy=False),
         np.array(roots, kind),
         np.array(bits),
         width,
