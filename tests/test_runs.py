@@ -1,8 +1,10 @@
 import json
+import os
 
 from conftest import SF
 from pyspark.sql import functions as F
 
+from turnmill.operators.formats import to_format, with_original
 from turnmill.plans import adapters, build
 from turnmill.streaming import resume
 
@@ -32,6 +34,57 @@ def test_whole_run_writes_the_bundle(spark, tmp_path):
     assert written["total_train_samples"] == summary.total_train_samples
 
 
+def test_bundle_carries_the_sample_as_given(spark, tmp_path):
+    given = [
+        {"question": f"why {i}?", "answer": f"since {i} is\nso", "_source": "a.jsonl", "b": {"z": 1, "a": [i]}}
+        for i in range(40)
+    ]
+    rows = [
+        (i, json.dumps(x, ensure_ascii=False, indent=1 if i % 2 else None), "asked", "a.jsonl")
+        for i, x in enumerate(given)
+    ]
+    samples = spark.createDataFrame(rows, "sample_id BIGINT, sample STRING, prompt STRING, _source STRING")
+    said = F.concat(F.lit("answer "), F.md5(F.col("sample_id").cast("string")))
+    attempts = samples.select(
+        "sample_id", F.lit(1).alias("round"), F.lit("openai").alias("client"),
+        F.lit(1).alias("attempt_no"), "prompt", said.alias("response"),
+        F.lit(None).cast("string").alias("error"), F.lit(2.0).alias("ts"),
+    )
+    out = str(tmp_path / "out")
+    shared = spark.conf.get("spark.checkpoint.dir") + "/turnmill"
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    summary = build.run(samples, attempts, out, threshold=0.99).first()
+    assert set(os.listdir(shared)) == before
+    files = summary.output_files
+    lines = [json.loads(r[0]) for r in spark.read.text([files["train"], files["test"]]).collect()]
+    assert len(lines) == summary.kept_train_samples + summary.kept_test_samples == 32 + 3
+    for line in lines:
+        assert list(line) == ["conversations", "original_data", "generation_metadata"]
+        i = line["original_data"]["b"]["a"][0]
+        assert line["original_data"] == given[i] and list(line["original_data"]) == list(given[i])
+        assert set(line["conversations"][0]) == {"instruction", "output", "input", "metadata"}
+        assert line["generation_metadata"]["num_turns"] == 1
+    metadata = json.loads(spark.read.text(files["metadata"]).first()[0])
+    assert metadata["successful_test_samples"] == 3 and metadata["timestamp"] >= summary.start_time
+    assert metadata["generation_config"]["similarity_threshold"] == "0.99"
+    assert summary.total_execution_time == summary.end_time - summary.start_time > 0
+    # Without turns, the question and answer of the original data are exported.
+    bare = spark.read.text(files["train"]).select(
+        F.regexp_replace("value", r"^\{\"conversations\":\[.*?\],\"orig", '{"conversations":[],"orig').alias("sample")
+    )
+    pairs = {(r.instruction, r.output) for r in to_format(bare, "alpaca", sample="sample").collect()}
+    assert len(pairs) == 32 and pairs <= {(x["question"], x["answer"]) for x in given}
+
+
+def test_original_data_of_typed_samples(spark):
+    typed = spark.createDataFrame([(1, "x", None)], "sample_id BIGINT, text STRING, prompt STRING")
+    made = with_original(typed)
+    assert made.columns == ["sample_id", "text", "original_data"]
+    assert json.loads(made.first().original_data) == {"sample_id": 1, "text": "x"}
+    kept = with_original(typed.withColumn("original_data", F.lit('{"a":1}')))
+    assert kept.first().original_data == '{"a":1}'
+
+
 def test_near_duplicates_go_per_split_in_split_order(spark):
     samples = adapters.conversation_pairs(spark, SF).select("sample_id").distinct()
     one = adapters.conversation_attempts(spark, SF)

@@ -36,6 +36,45 @@ def training_records(results: DataFrame) -> DataFrame:
     )
 
 
+def with_original(samples: DataFrame, derived: tuple[str, ...] = ("prompt", "_source")) -> DataFrame:
+    """Samples with ``original_data``: the JSON text of the sample as it was given.
+
+    That is the column of this name, else ``sample``, else an object of all columns
+    but the derived ones and ``split``. Raw columns that this replaces are dropped.
+    """
+    if "original_data" in samples.columns:
+        given, gone = F.col("original_data"), derived
+    elif "sample" in samples.columns:
+        given, gone = F.col("sample"), (*derived, "sample")
+    else:
+        own = [c for c in samples.columns if c not in (*derived, "split")]
+        fields = F.struct(*[F.col(f"`{c}`") for c in own])
+        given, gone = F.to_json(fields, {"ignoreNullFields": "false"}), derived
+    return samples.withColumn("original_data", given).drop(*gone)
+
+
+def record_lines(records: DataFrame) -> DataFrame:
+    """Nested records as JSON lines of conversations, original data and metadata.
+
+    The original data is an object again, its keys in their own order; line breaks
+    between its values become spaces.
+    """
+    whole = {"ignoreNullFields": "false"}
+    original = F.lit("null")
+    if "original_data" in records.columns:
+        original = F.coalesce(F.translate("original_data", "\r\n", "  "), original)
+    line = F.concat(
+        F.lit('{"conversations":'),
+        F.to_json("conversations", whole),
+        F.lit(',"original_data":'),
+        original,
+        F.lit(',"generation_metadata":'),
+        F.to_json("generation_metadata", whole),
+        F.lit("}"),
+    )
+    return records.select(line.alias("sample"))
+
+
 def _one(instruction: Column, given: Column, output: Column) -> Column:
     return F.array(
         F.struct(

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnmill.functions.responses import MAX_ANSWER, MIN_ANSWER
 from turnmill.functions.samples import sft_text
-from turnmill.operators.formats import training_records
+from turnmill.operators.formats import training_records, with_original
 from turnmill.operators.near_dup import THRESHOLD, drop_near_duplicates
-from turnmill.operators.report import generation_metadata, run_summary
+from turnmill.operators.report import (
+    executed_summary,
+    kept_counts,
+    metadata_row,
+    split_counts,
+)
 from turnmill.operators.split import (
     SEED,
     TRAIN_RATIO,
@@ -18,6 +25,7 @@ from turnmill.operators.split import (
     train_test_split,
 )
 from turnmill.operators.turns import (
+    CLIENTS,
     MAX_RETRIES,
     MAX_ROUNDS,
     assemble_history,
@@ -25,8 +33,8 @@ from turnmill.operators.turns import (
     first_success,
     result_rows,
 )
-from turnmill.session import save_step
-from turnmill.sources.writers import save_results, save_summary
+from turnmill.session import drop_steps, recorded, save_counted, save_step
+from turnmill.sources.writers import save_summary, write_bundle
 
 
 def build_results(
@@ -97,14 +105,39 @@ def run(
     mode: str = "errorifexists",
     **options,
 ) -> DataFrame:
-    """The whole run: write the result bundle and the summary; returns the summary row."""
-    parts = train_test_split(samples, "sample_id", train_ratio, seed, shuffle)
-    chosen = subsample_test(parts, "sample_id", seed, shuffle)
-    results = save_step(build_results(chosen, attempts, clients, **options), "results")
-    records = save_step(
-        format_results(results, seed, shuffle, filter_duplicates, threshold), "kept"
-    )
-    paths = save_results(records, generation_metadata(results), out, mode)
-    summary = run_summary(results, client_statistics(attempts, clients), paths, kept=records)
-    save_summary(summary, out, mode)
+    """The whole run: write the result bundle and the summary; returns the summary row.
+
+    Records carry the sample as it was given (``original_data``), not its prompt or
+    source. Counts are taken while tables are written; steps go when all is written.
+    """
+    started = time.time()
+    spark = samples.sparkSession
+    config = {
+        "train_ratio": train_ratio,
+        "seed": seed,
+        "shuffle": shuffle,
+        "filter_duplicates": filter_duplicates,
+        "similarity_threshold": threshold,
+        "clients": ",".join(clients or CLIENTS),
+        **{k: v for k, v in options.items() if not isinstance(v, Column)},
+    }
+    with recorded() as steps:
+        parts = train_test_split(with_original(samples), "sample_id", train_ratio, seed, shuffle)
+        chosen = subsample_test(parts, "sample_id", seed, shuffle)
+        results, counts = save_counted(
+            build_results(chosen, attempts, clients, **options), "results", *split_counts()
+        )
+        records, kept = save_counted(
+            format_results(results, seed, shuffle, filter_duplicates, threshold),
+            "kept",
+            *kept_counts(),
+        )
+        told = {name: str(value) for name, value in config.items()}
+        metadata = metadata_row(spark, counts, told, time.time())
+        paths = write_bundle(records, metadata, out, mode)
+        # One row per configured client.
+        use = client_statistics(attempts, clients).collect()
+        summary = executed_summary(metadata, use, paths, kept, started, time.time())
+        save_summary(summary, out, mode)
+    drop_steps(spark, steps)
     return summary

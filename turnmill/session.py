@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def get_session(app: str = "turnmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -91,3 +91,14 @@ def save_step(df: DataFrame, name: str) -> DataFrame:
     path = step_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def save_counted(df: DataFrame, name: str, *counts: Column) -> tuple[DataFrame, dict]:
+    """``save_step`` with named aggregates of the rows, taken while they are written.
+
+    They are taken by the tasks that write, above every shuffle, and a partition counts
+    once however often its task runs.
+    """
+    seen = Observation()
+    saved = save_step(df.observe(seen, *counts), name)
+    return saved, dict(seen.get)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnmill.operators.formats import to_format
+from turnmill.operators.formats import record_lines, to_format
 from turnmill.session import save_step
 
 SPLIT_FORMATS = ("jsonl", "json", "csv")
@@ -69,9 +69,15 @@ def save_results(
 
     The records are materialised once; all five outputs read that table.
     """
-    ready = save_step(records, "records")
-    train = ready.filter(F.col("split") == "train").drop("split")
-    test = ready.filter(F.col("split") == "test").drop("split")
+    return write_bundle(save_step(records, "records"), metadata, out, mode)
+
+
+def write_bundle(
+    records: DataFrame, metadata: DataFrame, out: str, mode: str = "errorifexists"
+) -> dict[str, str]:
+    """The result bundle of records that are already a table."""
+    train = records.filter(F.col("split") == "train").drop("split")
+    test = records.filter(F.col("split") == "test").drop("split")
     # Names of the outputs.
     paths = {
         "train": f"{out}/sft_train_data.jsonl",
@@ -80,8 +86,8 @@ def save_results(
         "alpaca_train": f"{out}/alpaca_train_data.json",
         "sharegpt_train": f"{out}/sharegpt_train_data.json",
     }
-    write_jsonl(train, paths["train"], mode)
-    write_jsonl(test, paths["test"], mode)
+    write_jsonl(record_lines(train), paths["train"], mode)
+    write_jsonl(record_lines(test), paths["test"], mode)
     write_json(metadata, paths["metadata"], mode)
     write_json(to_format(train, "alpaca"), paths["alpaca_train"], mode)
     write_json(to_format(train, "sharegpt"), paths["sharegpt_train"], mode)
