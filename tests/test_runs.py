@@ -117,6 +117,50 @@ def test_ledger(spark, tmp_path):
     assert last == {0: False, 1: True, 2: True, 3: False, 4: False}
 
 
+def test_ledger_after_a_crash_between_the_two_writes(spark, tmp_path):
+    out, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
+    samples = spark.range(6).withColumnRenamed("id", "sample_id")
+    done = samples.withColumn("success", F.lit(True))
+    resume.record(done.filter("sample_id < 2"), out, ledger)
+    # A run that was committed but not entered, and one that died while it wrote.
+    done.filter("sample_id = 2").write.parquet(f"{out}/run=1")
+    done.filter("sample_id = 5").write.parquet(f"{out}/run=2")
+    os.remove(f"{out}/run=2/_SUCCESS")
+    for n in ("00000001", "00000002"):
+        open(f"{out}/_claims/{n}", "w").close()
+    assert resume.pending(samples, resume.read_ledger(spark, ledger)).count() == 4
+    first = sorted(os.listdir(f"{ledger}/p00000000"))
+    resume.record(done.filter("sample_id = 3"), out, ledger)
+    assert sorted(os.listdir(f"{ledger}/p00000000")) == first
+    left = resume.pending(samples, resume.read_ledger(spark, ledger))
+    assert {r.sample_id for r in left.collect()} == {4, 5}
+    assert sorted(r.sample_id for r in resume.finished(spark, out).collect()) == [0, 1, 2, 3]
+    assert resume.repair(spark, out, ledger) == []
+
+
+def test_ledger_compaction(spark, tmp_path):
+    out, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
+    rows = spark.range(4).withColumnRenamed("id", "sample_id")
+    assert resume.compact(spark, out, ledger) is None
+    for ok in (False, True):
+        resume.record(rows.withColumn("success", F.lit(ok)), out, ledger)
+    old = resume.read_ledger(spark, ledger)
+    assert resume.compact(spark, out, ledger) == "c00000001"
+    assert old.count() == 8  # a reader of the older snapshot
+    assert {tuple(r) for r in resume.read_ledger(spark, ledger).collect()} == {(i, True) for i in range(4)}
+    resume.record(spark.range(4, 6).selectExpr("id AS sample_id", "true AS success"), out, ledger)
+    assert resume.ledger_parts(spark, ledger) == ["c00000001", "p00000002"]
+    assert resume.read_ledger(spark, ledger).count() == 6
+    assert resume.repair(spark, out, ledger) == []
+
+
+def test_runs_claim_numbers_of_their_own(spark, tmp_path):
+    out = str(tmp_path / "out")
+    assert [resume._claim(spark, out) for _ in range(3)] == [0, 1, 2]
+    os.remove(f"{out}/_claims/00000001")
+    assert resume._claim(spark, out) == 3
+
+
 def test_new_files_only(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()

@@ -136,10 +136,25 @@ def document_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spoken_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as raw JSON samples with a ``conversations`` list."""
-    turn = F.struct("round", F.col("prompt").alias("instruction"), F.col("response").alias("output"))
-    lists = conversation_pairs(spark, sf_dir).groupBy("sample_id").agg(
-        F.array_sort(F.collect_list(turn)).alias("turns")
+    """Conversations as raw JSON samples with a ``conversations`` list of all turns.
+
+    An entry is an instruction with its answer as output, a turn without an answer
+    (system turns too) as an instruction alone, or an answer to nothing as an output alone.
+    """
+    turns = table(spark, sf_dir, "conversations")
+    whole = Window.partitionBy("conv_id").orderBy("turn")
+    asked, answer = F.col("role") == "user", F.col("role") == "assistant"
+    paired = F.coalesce(F.lag(asked).over(whole), F.lit(False)) & answer
+    following = F.lead(answer).over(whole) & asked
+    entries = turns.select(
+        F.col("conv_id").alias("sample_id"),
+        "turn",
+        F.when(~answer, F.col("text")).alias("instruction"),
+        F.when(answer, F.col("text")).when(following, F.lead("text").over(whole)).alias("output"),
+        paired.alias("_told"),
+    ).filter("NOT _told")
+    lists = entries.groupBy("sample_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", "instruction", "output"))).alias("turns")
     )
     items = F.transform("turns", lambda t: F.struct(t["instruction"].alias("instruction"), t["output"].alias("output")))
     return lists.select(

@@ -135,12 +135,25 @@ MIXED_TEXT = """CASE doc_id % 8
   WHEN 2 THEN text || ' ' || lang
   ELSE concat_ws(' ', CASE WHEN length(text) > 10 THEN text END,
     CASE WHEN doc_id % 8 IN (4, 6, 7) AND length(source) > 10 THEN source END) END"""
-SPOKEN_TEXT = "string_agg(prompt || ' ' || response, ' ' ORDER BY round)"
+# Every turn of a conversation, alone or as a pair of question and answer.
+ENTRIES = """
+placed AS (
+  SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text, lag(role) OVER w AS last_role
+  FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+entries AS (
+  SELECT conv_id AS sample_id, turn, CASE WHEN role <> 'assistant' THEN text END AS instruction,
+    CASE WHEN role = 'assistant' THEN text WHEN role = 'user' AND next_role = 'assistant'
+      THEN next_text END AS output
+  FROM placed WHERE role <> 'assistant' OR last_role IS DISTINCT FROM 'user')
+"""
+SPOKEN_TEXT = "string_agg(concat_ws(' ', instruction, output), ' ' ORDER BY turn)"
 VALID_MIXED = (
     f"CASE WHEN doc_id % 8 = 1 THEN {strip('text')} <> '' AND {strip('source')} <> '' "
     f"ELSE length({strip('(' + MIXED_TEXT + ')')}) >= 10 END"
 )
-VALID_SPOKEN = f"bool_and({strip('prompt')} <> '' AND {strip('response')} <> '')"
+VALID_SPOKEN = (
+    f"bool_and(coalesce({strip('instruction')}, '') <> '' AND coalesce({strip('output')}, '') <> '')"
+)
 # One field each, in document order, as the JSON writer prints them.
 SHAPES = """CASE doc_id % 8
   WHEN 0 THEN '{"question":' || to_json(lang) || ',"answer":' || to_json(text) || '}'
@@ -248,15 +261,15 @@ ORACLE: dict[str, str] = {
     "result_rows": f"WITH {RESULTS} SELECT * FROM results",
     "batch_numbers": "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 16 + 1 AS batch "
     "FROM documents",
-    "extract_text": f"WITH {PAIRS} SELECT doc_id AS pos, {MIXED_TEXT} AS text FROM documents "
-    f"UNION ALL SELECT sample_id, {SPOKEN_TEXT} FROM pairs GROUP BY sample_id",
-    "valid_sample": f"WITH {PAIRS} SELECT doc_id AS pos, {VALID_MIXED} AS valid FROM documents "
-    f"UNION ALL SELECT sample_id, {VALID_SPOKEN} FROM pairs GROUP BY sample_id",
-    "validate_filter": f"""WITH {PAIRS}
+    "extract_text": f"WITH {ENTRIES} SELECT doc_id AS pos, {MIXED_TEXT} AS text FROM documents "
+    f"UNION ALL SELECT sample_id, {SPOKEN_TEXT} FROM entries GROUP BY sample_id",
+    "valid_sample": f"WITH {ENTRIES} SELECT doc_id AS pos, {VALID_MIXED} AS valid FROM documents "
+    f"UNION ALL SELECT sample_id, {VALID_SPOKEN} FROM entries GROUP BY sample_id",
+    "validate_filter": f"""WITH {ENTRIES}
       SELECT doc_id AS pos, md5({SHAPES}) AS hash FROM documents WHERE {VALID_MIXED}
       UNION ALL SELECT sample_id, md5('{{"conversations":[' || string_agg(
-        '{{"instruction":' || to_json(prompt) || ',"output":' || to_json(response) || '}}',
-        ',' ORDER BY round) || ']}}') FROM pairs GROUP BY sample_id HAVING {VALID_SPOKEN}""",
+        '{{"instruction":' || to_json(instruction) || ',"output":' || to_json(output) || '}}',
+        ',' ORDER BY turn) || ']}}') FROM entries GROUP BY sample_id HAVING {VALID_SPOKEN}""",
     "content_hash": "SELECT doc_id, md5(text) AS hash FROM documents",
     "dedup_exact": "SELECT doc_id, text, lang, source, n_chars FROM documents QUALIFY "
     "row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) = 1",
