@@ -156,9 +156,9 @@ def test_ledger_compaction(spark, tmp_path):
 
 def test_runs_claim_numbers_of_their_own(spark, tmp_path):
     out = str(tmp_path / "out")
-    assert [resume._claim(spark, out) for _ in range(3)] == [0, 1, 2]
+    assert [resume.claim(spark, out) for _ in range(3)] == [0, 1, 2]
     os.remove(f"{out}/_claims/00000001")
-    assert resume._claim(spark, out) == 3
+    assert resume.claim(spark, out) == 3
 
 
 def test_new_files_only(spark, tmp_path):

@@ -17,7 +17,7 @@ from turnmill.plans import adapters as A
 from turnmill.plans.build import build_records
 from turnmill.session import step_path
 from turnmill.sources import files, writers
-from turnmill.streaming import resume
+from turnmill.streaming import resume, seen
 
 Query = Callable[[SparkSession, str], DataFrame]
 DOC_FIELDS = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
@@ -411,6 +411,14 @@ def resume_pending(spark, sf):
     return resume.pending(_doc_samples(spark, sf), resume.read_ledger(spark, ledger))
 
 
+def dedup_incremental(spark, sf):
+    """Documents that arrive in three runs: the first row of every text, and its run."""
+    out, index = step_path(spark, "kept"), step_path(spark, "seen")
+    for run in range(3):
+        seen.record_new(_docs(spark, sf).filter(F.col("doc_id") % 3 == run), out, index)
+    return seen.kept_rows(spark, out).select("doc_id", F.col("run").cast("bigint").alias("run"))
+
+
 def flagship(spark, sf):
     """Conversations end to end: records without near duplicates, as Alpaca rows."""
     samples = A.conversation_pairs(spark, sf).select("sample_id").distinct()
@@ -460,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "validate_filter": validate_filter,
     "content_hash": content_hash,
     "dedup_exact": dedup_exact,
+    "dedup_incremental": dedup_incremental,
     "dedup_near": dedup_near,
     "dedup_candidates": dedup_candidates,
     "dedup_near_equal": dedup_near_equal,

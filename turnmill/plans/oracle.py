@@ -333,5 +333,7 @@ ORACLE: dict[str, str] = {
         count(*) FILTER (WHERE split = 'test' AND success) AS successful_test_samples,
         'out/train' AS train_path, (SELECT count(*) FROM rounds) AS requests
       FROM halves""",
+    "dedup_incremental": "SELECT doc_id, doc_id % 3 AS run FROM documents QUALIFY "
+    "row_number() OVER (PARTITION BY text ORDER BY doc_id % 3, doc_id) = 1",
     "resume_pending": f"WITH {RESULTS} SELECT sample_id FROM results WHERE NOT success",
 }

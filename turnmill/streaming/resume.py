@@ -64,13 +64,13 @@ def read_ledger(spark: SparkSession, path: str, key: str = "sample_id") -> DataF
     return spark.read.schema(schema).parquet(*[f"{path}/{n}" for n in parts])
 
 
-def _runs(spark: SparkSession, out: str) -> list[int]:
+def committed_runs(spark: SparkSession, out: str) -> list[int]:
     """Numbers of the runs whose results are committed."""
     numbers = [int(n[4:]) for n in _names(spark, out) if n.startswith("run=") and n[4:].isdigit()]
     return sorted(n for n in numbers if _whole(spark, f"{out}/run={n}"))
 
 
-def _claim(spark: SparkSession, out: str) -> int:
+def claim(spark: SparkSession, out: str) -> int:
     """The next run's number, claimed by creating a file that must not exist yet."""
     taken = [int(n) for n in _names(spark, f"{out}/_claims") if n.isdigit()]
     number = max(taken, default=-1) + 1
@@ -100,7 +100,7 @@ def record(results: DataFrame, out: str, ledger: str, key: str = "sample_id") ->
     snapshot, and their samples stay pending.
     """
     spark = results.sparkSession
-    run = _claim(spark, out)
+    run = claim(spark, out)
     results.write.mode("overwrite").parquet(f"{out}/run={run}")
     repair(spark, out, ledger, key)
 
@@ -110,7 +110,7 @@ def repair(spark: SparkSession, out: str, ledger: str, key: str = "sample_id") -
     parts = ledger_parts(spark, ledger)
     since = next((int(n[1:]) for n in parts if n.startswith("c")), -1)
     known = {int(n[1:]) for n in parts}
-    missing = [n for n in _runs(spark, out) if n > since and n not in known]
+    missing = [n for n in committed_runs(spark, out) if n > since and n not in known]
     for run in missing:
         _enter(spark, out, ledger, run, key)
     return missing
@@ -137,7 +137,7 @@ def finished(spark: SparkSession, out: str, key: str = "sample_id") -> DataFrame
 
     The last run of a key is found on keys and run numbers alone; the rows then join it.
     """
-    runs = _runs(spark, out)
+    runs = committed_runs(spark, out)
     if not runs:
         raise ValueError(f"no results in {out}")
     rows = spark.read.option("basePath", out).parquet(*[f"{out}/run={n}" for n in runs])
