@@ -49,6 +49,22 @@ def random_client(active: Column, n_active: int, seed: int, *keys: Column) -> Co
     return F.element_at(active, hash_pick(n_active, seed, *keys).cast("int") + 1)
 
 
+def attempt_place(clients: list[str] | None = None, chosen: Column | None = None) -> Column:
+    """Place of an attempt's client: the ``chosen`` (by default preferred) one, then list order."""
+    listed = F.array(*[F.lit(c) for c in clients or CLIENTS])
+    first = chosen if chosen is not None else preferred_client(listed)
+    return F.when(F.col("client") == first, 0).otherwise(F.array_position(listed, F.col("client")))
+
+
+def usable_attempt(clients: list[str] | None = None, max_retries: int = MAX_RETRIES) -> Column:
+    """Whether an attempt succeeded and is one that would have been made."""
+    return (
+        F.col("error").isNull()
+        & F.col("client").isin(clients or CLIENTS)
+        & F.col("attempt_no").between(1, max_retries)
+    )
+
+
 def first_success(
     attempts: DataFrame,
     clients: list[str] | None = None,
@@ -62,17 +78,12 @@ def first_success(
     1..max_retries. A round where nothing succeeded has ``ok`` false and NULLs.
     Aggregated map-side, so a flood of attempts for one round is harmless.
     """
-    active = clients or CLIENTS
-    listed = F.array(*[F.lit(c) for c in active])
-    first = chosen if chosen is not None else preferred_client(listed)
-    place = F.when(F.col("client") == first, 0).otherwise(F.array_position(listed, F.col("client")))
-    usable = (
-        F.col("error").isNull()
-        & F.col("client").isin(active)
-        & F.col("attempt_no").between(1, max_retries)
-    )
+    place = attempt_place(clients, chosen).alias("place")
     winner = F.min(
-        F.when(usable, F.struct(place.alias("place"), "attempt_no", "client", "response", "ts"))
+        F.when(
+            usable_attempt(clients, max_retries),
+            F.struct(place, "attempt_no", "client", "response", "ts"),
+        )
     )
     return (
         attempts.groupBy("sample_id", "round")

@@ -17,7 +17,7 @@ from turnmill.plans import adapters as A
 from turnmill.plans.build import build_records
 from turnmill.session import step_path
 from turnmill.sources import files, writers
-from turnmill.streaming import resume, seen
+from turnmill.streaming import attempts, resume, seen
 
 Query = Callable[[SparkSession, str], DataFrame]
 DOC_FIELDS = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
@@ -169,6 +169,22 @@ def assemble_history(spark, sf):
     return turns.assemble_history(A.document_rounds(spark, sf))
 
 
+def arriving_conversations(spark, sf):
+    """The same turns, from attempts that arrive in three parts and up to 80 seconds late."""
+    source, out, checkpoint = (step_path(spark, x) for x in ("arriving", "states", "checkpoint"))
+    rows = A.round_attempts(spark, sf)
+    second = F.floor("ts")
+    arrives = second + 40 * (second % 3)
+    end = rows.agg(F.max(arrives)).first()[0] or 0
+    part = F.floor(arrives * 3 / F.lit(end + 1))
+    for number in range(3):
+        rows.filter(part == number).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        attempts.run_new_attempts(stream, out, checkpoint, late_seconds=100, idle_seconds=100)
+    states = attempts.latest_conversations(spark, out)
+    return states.select("sample_id", F.explode("turns").alias("t")).select("sample_id", "t.*")
+
+
 def _doc_samples(spark, sf):
     return (
         _docs(spark, sf).select(F.expr("doc_id DIV 6").alias("sample_id")).distinct()
@@ -454,6 +470,7 @@ QUERIES: dict[str, Query] = {
     "valid_response": valid_responses,
     "end_of_conversation": end_of_conversation,
     "assemble_history": assemble_history,
+    "arriving_conversations": arriving_conversations,
     "valid_conversation": valid_conversation,
     "first_success": first_success,
     "preferred_client": preferred_client,

@@ -222,6 +222,7 @@ ORACLE: dict[str, str] = {
     "end_of_conversation": f"WITH {ROUNDS} SELECT sample_id, round, "
     f"{closes('response', 'round')} AS closes FROM rounds WHERE ok",
     "assemble_history": f"WITH {HISTORY} SELECT * FROM history",
+    "arriving_conversations": f"WITH {HISTORY} SELECT * FROM history",
     "valid_conversation": f"""WITH {HISTORY}
       SELECT s.sample_id, coalesce(bool_and(length({strip('response')}) >= 10
         AND length(response) <= 4000), false) AS valid
