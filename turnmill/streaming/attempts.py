@@ -48,7 +48,8 @@ class Rounds(StatefulProcessor):
         self.won = handle.getMapState("won", "round INT", WON)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best, last = self._held(), None
+        held, last = self._held(), None
+        best = dict(held)
         for frame in rows:
             for row in frame.itertuples(index=False):
                 number = int(row.round)
@@ -56,14 +57,15 @@ class Rounds(StatefulProcessor):
                 best[number] = row_of(row) if seen is None else better(seen, row_of(row))
                 last = row.ts if last is None or row.ts > last else last
         for number, value in best.items():
-            self.won.updateValue((number,), value)
+            if held.get(number) != value:
+                self.won.updateValue((number,), value)
         due = int((last + SHIFT) * 1000) + self.idle_ms
-        held = list(self.handle.listTimers())
-        # A sample has one timer, after its latest attempt.
-        for at in held:
+        # A sample has one timer, after its latest attempt; one without state has none.
+        timers = list(self.handle.listTimers()) if held else []
+        for at in timers:
             if at < due:
                 self.handle.deleteTimer(at)
-        if not held or max(held) < due:
+        if not timers or max(timers) < due:
             self.handle.registerTimer(due)
         yield frame_of(key[0], best, closed=False)
 
