@@ -6,6 +6,10 @@ than a similar pair may differ in shingles, the sketches of such a pair have equ
 pieces. The number of pieces follows from a band of set sizes; a set is cut for
 its own band and for lower bands that hold similar smaller sets.
 
+There are more pieces than that, by a reserve: similar sets have so many more equal
+pieces, and a set does without as many, those that most sets share. What a common
+passage puts into the sets is in few pieces of each, and it is these that go.
+
 Equal sets are one class. Classes that share a piece meet one of them only; after
 those pairs are verified, what is left to compare are members of a piece that are
 not yet connected, and only those whose sketches are near enough come out of that
@@ -20,7 +24,7 @@ from math import ceil, exp
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnmill.llm.common import each, text_of
@@ -31,6 +35,8 @@ from turnmill.session import save_step
 WORDS = 5
 PERCENT = 80
 BAND = 1.35  # sizes of a band: from its start to so many times it
+RESERVE = 8  # one piece more for so many
+LEVEL_BITS = 7  # last bits of a piece's key: its band
 SKETCH_BITS = 2048
 QUICK_WORDS = 8  # the same sketch folded to 512 positions
 FILTER_BITS = 1 << 23  # a fixed megabyte
@@ -49,8 +55,8 @@ def band_starts(most: int) -> tuple[int, ...]:
 
 
 @lru_cache(maxsize=None)
-def band(level: int, percent: int) -> tuple[int, int, int]:
-    """Largest size, pieces and spare pieces of a band.
+def band(level: int, percent: int) -> tuple[int, int, int, int]:
+    """Largest size, pieces, spare pieces and reserve of a band.
 
     Sets of sizes s <= l are similar if 100 * common >= percent * union, which
     allows (s + l) * (100 - percent) / (100 + percent) differences, and
@@ -62,9 +68,10 @@ def band(level: int, percent: int) -> tuple[int, int, int]:
     first, last = starts[level], starts[level + 1] - 1
     differences = (last + 100 * last // percent) * (100 - percent) // (100 + percent)
     # Spare pieces make up for pieces that are empty in both sets.
-    pieces = differences + 1
+    reserve = (differences + 1) // RESERVE
+    pieces = differences + 1 + reserve
     spare = ceil(1 + 2 * pieces * exp(-first / pieces)) if pieces > 1 else 0
-    return last, pieces + spare, spare
+    return last, pieces + spare, spare, reserve
 
 
 def levels(n: int, percent: int) -> Iterator[tuple[int, int, int]]:
@@ -72,7 +79,7 @@ def levels(n: int, percent: int) -> Iterator[tuple[int, int, int]]:
     starts = band_starts(1 << (n.bit_length() + 1))
     level = int(np.searchsorted(starts, n, side="right")) - 1
     while level >= 0:
-        last, pieces, spare = band(level, percent)
+        last, pieces, spare, _ = band(level, percent)
         if 100 * last < percent * n:
             return
         yield level, pieces, spare
@@ -88,21 +95,25 @@ def piece_keys(own: np.ndarray, percent: int) -> np.ndarray:
     """Keys of the pieces of a sorted set, for every band it is cut for.
 
     A key is the exclusive or of a piece's shingles, which is a digest of the
-    piece's bits. Two sets with at most ``pieces - 1 - spare`` differences have
-    more than ``spare`` equal pieces; a set with no more than ``spare`` empty ones
-    need not list those.
+    piece's bits, and ends with the band. Two sets with at most ``pieces - 1 - spare -
+    reserve`` differences have more than ``spare + reserve`` equal pieces; a set with no
+    more than ``spare`` empty ones need not list those.
     """
     found = []
+
+    def keys(digest: np.ndarray, level: int) -> np.ndarray:
+        return mix64(digest) >> U(LEVEL_BITS) << U(LEVEL_BITS) | U(level)
+
     for level, pieces, spare in levels(len(own), percent):
         piece = ((own >> U(32)) * U(pieces)) >> U(32)
         first = np.concatenate([[0], np.flatnonzero(piece[1:] != piece[:-1]) + 1])
         at = piece[first]
         digest = np.bitwise_xor.reduceat(own, first)
         salt = U(level << 40)
-        found.append(mix64(digest ^ mix64(at + salt + U(1))))
+        found.append(keys(digest ^ mix64(at + salt + U(1)), level))
         if pieces - len(at) > spare:
             empty = np.setdiff1d(np.arange(pieces, dtype=np.uint64), at)
-            found.append(mix64(mix64(empty + salt + U(1))))
+            found.append(keys(mix64(empty + salt + U(1)), level))
     return np.concatenate(found).view(np.int64)
 
 
@@ -206,6 +217,20 @@ def _filter_words(ids: DataFrame) -> np.ndarray:
     return table.view(np.uint64)
 
 
+def _without_reserve(entries: DataFrame, percent: int) -> DataFrame:
+    """Entries (key, id, m) but each set's first ones of a band in a common order, as
+    many as the reserve of the band: those in most sets.
+
+    Similar sets have more keys of the smaller one's band in common than the reserve.
+    Of these, the last in the order is among the first ones of neither set.
+    """
+    level = F.col("key").bitwiseAND(F.lit((1 << LEVEL_BITS) - 1)).cast("int")
+    reserves = F.array(*[F.lit(band(i, percent)[3]).cast("long") for i in range(1 << LEVEL_BITS)])
+    order = Window.partitionBy("id", "level").orderBy(F.desc("m"), "key")
+    placed = entries.withColumn("level", level).withColumn("place", F.row_number().over(order))
+    return placed.filter(F.col("place") > F.get(reserves, F.col("level"))).select(*entries.columns)
+
+
 def _distance(left: str, right: str) -> Column:
     """Positions in which two sketches differ."""
     return F.aggregate(
@@ -265,7 +290,7 @@ def similar_groups(
         .filter("low < high")
         .select("key", "m")
     )
-    live = save_step(entries.join(shared, "key").distinct(), "shared_pieces")
+    live = save_step(_without_reserve(entries.join(shared, "key").distinct(), percent), "shared_pieces")
     wanted = spark.sparkContext.broadcast(_filter_words(live.select("id").distinct()))
     sets = save_step(
         docs.select(binary)
@@ -295,7 +320,9 @@ def similar_groups(
         placed.join(weights, "label", "left").select("key", "id", "label", F.coalesce("weight", F.lit(0)).alias("weight")),
         "placed_pieces",
     )
-    # Pieces of three or more classes that are not all connected yet.
+    # Pieces of three or more classes that are not all connected yet. A passage that
+    # some sets share is many pieces with the same members: one of them will do, found
+    # by two digests of the members.
     open_pieces = (
         placed.groupBy("key")
         .agg(
@@ -303,25 +330,30 @@ def similar_groups(
             F.max("label").alias("high"),
             F.count("*").alias("m"),
             F.max(F.struct("weight", "label")).alias("main"),
+            F.bit_xor(F.xxhash64("id")).alias("digest"),
+            F.bit_xor(F.xxhash64("id", F.lit(1))).alias("other_digest"),
         )
         .filter("low < high AND m > 2")
-        .select("key", F.col("main.label").alias("main"))
+        .groupBy("digest", "other_digest", "m")
+        .agg(F.min("key").alias("key"), F.first("main.label").alias("main"))
+        .select("key", "main")
     )
     quick = sets.select("id", "n", *[F.get("quick", F.lit(i)).alias(f"q{i}") for i in range(QUICK_WORDS)])
     members = placed.join(open_pieces, "key").join(quick, "id")
     words = [f"q{i}" for i in range(QUICK_WORDS)]
 
-    def side(rows: DataFrame, name: str) -> DataFrame:
+    def side(rows: DataFrame, name: str, *more: str) -> DataFrame:
         own = [F.col(c).alias(f"{name}{i}") for i, c in enumerate(words)]
         return rows.select(
-            "key", F.col("id").alias(name), F.col("label").alias(f"l{name}"), F.col("n").alias(f"n{name}"), *own
+            "key", F.col("id").alias(name), F.col("label").alias(f"l{name}"), F.col("n").alias(f"n{name}"), *own, *more
         )
 
     # Two sketches differ in no more places than the sets do, so the condition of
-    # the join itself turns away what cannot be similar.
+    # the join itself turns away what cannot be similar. Two outside meet once.
     outside = side(members.filter("label <> main"), "x")
-    met = outside.join(side(members, "y"), "key").filter(
+    met = outside.join(side(members, "y", "main"), "key").filter(
         (F.col("lx") != F.col("ly"))
+        & ((F.col("ly") == F.col("main")) | (F.col("x") < F.col("y")))
         & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
         & (_quick_distance() * (100 + percent) <= (F.col("nx") + F.col("ny")) * (100 - percent))
     )
