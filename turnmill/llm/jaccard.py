@@ -40,6 +40,8 @@ LEVEL_BITS = 7  # last bits of a piece's key: its band
 SKETCH_BITS = 2048
 QUICK_WORDS = 8  # the same sketch folded to 512 positions
 FILTER_BITS = 1 << 23  # a fixed megabyte
+PART_MEMBERS = 512  # members of a meeting that stay together
+MEETING = ["main", "key", "part"]
 HELD = 200_000  # numbers that are handed over together
 
 U = np.uint64
@@ -231,6 +233,27 @@ def _without_reserve(entries: DataFrame, percent: int) -> DataFrame:
     return placed.filter(F.col("place") > F.get(reserves, F.col("level"))).select(*entries.columns)
 
 
+def _united(members: DataFrame) -> DataFrame:
+    """Members (key, main, id, label) of open pieces, each meeting once, and its parts.
+
+    Edited copies share many pieces whose members are almost the same, so a pair would
+    meet in each of them. Pieces of one main label are united if all their members
+    compared once are fewer pairs than those of the single pieces together. Whoever
+    shares a piece still meets.
+    """
+    out = F.count_if(F.col("label") != F.col("main"))
+    single = members.groupBy("main", "key").agg(F.count("*").alias("m"), out.alias("o"))
+    single = single.groupBy("main").agg(F.sum(F.col("o").cast("double") * F.col("m")).alias("apart"))
+    whole = members.select("main", "id", "label").distinct().groupBy("main")
+    whole = whole.agg(F.count("*").alias("m"), out.alias("o"))
+    chosen = whole.join(single, "main").filter(F.col("o").cast("double") * F.col("m") < F.col("apart")).select("main")
+    united = members.join(chosen.select("main", F.lit(True).alias("united")), "main", "left")
+    meeting = F.when(F.col("united"), F.lit(0)).otherwise(F.col("key"))
+    placed = save_step(united.select("main", meeting.alias("key"), "id", "label").distinct(), "open_members")
+    parts = F.ceil(F.count("*") / PART_MEMBERS).cast("int")
+    return placed.join(placed.groupBy("main", "key").agg(parts.alias("parts")), ["main", "key"])
+
+
 def _distance(left: str, right: str) -> Column:
     """Positions in which two sketches differ."""
     return F.aggregate(
@@ -339,19 +362,22 @@ def similar_groups(
         .select("key", "main")
     )
     quick = sets.select("id", "n", *[F.get("quick", F.lit(i)).alias(f"q{i}") for i in range(QUICK_WORDS)])
-    members = placed.join(open_pieces, "key").join(quick, "id")
+    open_rows = save_step(placed.join(open_pieces, "key").select("key", "main", "id", "label"), "open_rows")
+    members = _united(open_rows).join(quick, "id")
     words = [f"q{i}" for i in range(QUICK_WORDS)]
 
-    def side(rows: DataFrame, name: str, *more: str) -> DataFrame:
+    def side(rows: DataFrame, name: str) -> DataFrame:
         own = [F.col(c).alias(f"{name}{i}") for i, c in enumerate(words)]
         return rows.select(
-            "key", F.col("id").alias(name), F.col("label").alias(f"l{name}"), F.col("n").alias(f"n{name}"), *own, *more
+            *MEETING, F.col("id").alias(name), F.col("label").alias(f"l{name}"), F.col("n").alias(f"n{name}"), *own
         )
 
     # Two sketches differ in no more places than the sets do, so the condition of
     # the join itself turns away what cannot be similar. Two outside meet once.
-    outside = side(members.filter("label <> main"), "x")
-    met = outside.join(side(members, "y", "main"), "key").filter(
+    # A member is in one part of its meeting; those outside go to all parts.
+    outside = members.filter("label <> main").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = members.withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    met = side(outside, "x").join(side(dealt, "y"), MEETING).filter(
         (F.col("lx") != F.col("ly"))
         & ((F.col("ly") == F.col("main")) | (F.col("x") < F.col("y")))
         & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
