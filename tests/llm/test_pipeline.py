@@ -93,3 +93,18 @@ def test_steps_that_documents_read_stay(spark):
     lazy = corpus_pipeline.drop_exact_copies(spark, docs, SF)
     n = lazy.count()
     assert corpus_pipeline.drop_near_copies(spark, lazy, SF).count() <= n == lazy.count()
+
+
+def test_stages_read_whole_texts_in_short_batches(spark):
+    docs = spark.createDataFrame([(1, "one text", "en")], "doc_id BIGINT, text STRING, lang STRING")
+    before = {batch: spark.conf.get(batch) for batch in ["spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch"]}
+    try:
+        for given, most in (("4096", 1000), ("7", 7)):
+            for batch in before:
+                spark.conf.set(batch, given)
+            assert corpus_pipeline.drop_exact_copies(spark, docs, "").count() == 1
+            assert all(0 < int(spark.conf.get(batch)) <= most for batch in before)
+    finally:
+        for batch, rows in before.items():
+            spark.conf.set(batch, rows)
+    assert corpus_pipeline.BATCHES["spark.sql.parquet.columnarReaderBatchSize"] < 4096
