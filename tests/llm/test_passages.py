@@ -116,3 +116,19 @@ def test_whole_characters(text):
     data = np.frombuffer(("x" + text).encode(), np.uint8)
     assert substring_dedup._whole(data)
     assert len(text.encode()) == 1 or not substring_dedup._whole(data[:-1])
+
+
+def test_texts_are_shuffled_once(spark):
+    """A text is cut for its own matches and for those that have it as their source: from one shuffle."""
+    rng = random.Random(11)
+    shared = prose(rng, 80)
+    rows = [(i, i, f"{prose(rng, 40)} {shared} {prose(rng, 40)}") for i in range(40)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = substring_dedup.repeated_spans(spark.createDataFrame(rows, "rid BIGINT, doc_id BIGINT, text STRING"))
+        spans = found.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {(r.rid, r.source) for r in spans} == {(i, 0) for i in range(1, 40)}
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("ReusedExchange") == 1

@@ -201,13 +201,14 @@ def repeated_spans(rows: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     )
     matches = save_step(matches, "matches")
     around = F.col("size") + REACH
-    own = texts.select("rid", F.col("text").alias("t"))
+    # Named alike for both joins, by rid and by source, so that they read one shuffle of the texts.
+    own = texts.select(F.col("rid").alias("r"), F.col("text").alias("t"))
 
     def cut(of: Column) -> Column:
         return F.substring("t", F.greatest(of - REACH, F.lit(0)).cast("int") + 1, (F.least(of, F.lit(REACH)) + around).cast("int"))
 
-    x = matches.join(own, "rid").select(*line, "start", "size", cut(F.col("start")).alias("x"))
-    y = x.join(own.withColumnRenamed("rid", "source"), "source").select(
+    x = matches.join(own, F.col("rid") == F.col("r")).select(*line, "start", "size", cut(F.col("start")).alias("x"))
+    y = x.join(own, F.col("source") == F.col("r")).select(
         *line, "start", "size", "x", cut(F.col("start") - F.col("shift")).alias("y")
     )
     known = y.mapInArrow(_extend, "rid BIGINT, source BIGINT, shift BIGINT, start BIGINT, `end` BIGINT")
